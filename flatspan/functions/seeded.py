@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: More groups than this cannot be classes of a target; their cut-offs are not collected.
 MAX_GROUPS = 10_000
@@ -65,7 +66,7 @@ def hash_cutoffs(
     if ranked:
         wanted = df.sparkSession.createDataFrame(
             [(g, b, j, r) for (g, b), picks in ranked.items() for j, r in picks],
-            keys.select("g", "b").schema.add("j", "int").add("r", "long"),
+            keys.select("g", "b").schema.add("j", T.IntegerType()).add("r", T.LongType()),
         )
         # The wanted list has groups x ranks rows (checked above), so it is safe to broadcast.
         order = Window.partitionBy("g", "b").orderBy("h")

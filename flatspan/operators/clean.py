@@ -7,7 +7,7 @@ included.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -179,6 +179,7 @@ class FillValues:
     numeric: dict[str, float | None] = field(default_factory=dict)
     categorical: dict[str, str] = field(default_factory=dict)
     high_missing: list[str] = field(default_factory=list)
+    had_missing: list[str] = field(default_factory=list)
 
 
 def fit_fill_values(df: DataFrame, threshold: float = 0.5, direct_limit: int = DIRECT_LIMIT) -> FillValues:
@@ -188,25 +189,27 @@ def fit_fill_values(df: DataFrame, threshold: float = 0.5, direct_limit: int = D
     modes = {}
     if categorical:
         modes = {r["column_name"]: r["mode_value"] for r in column_modes(df, categorical).collect()}
-    high = missing_fractions(df, threshold).where("high_missing").collect()
+    missing = missing_fractions(df, threshold).where("missing_fraction > 0").collect()  # columns only
     return FillValues(
         {c: medians[c][0] for c in numeric},
         {c: modes.get(c, MODE_FALLBACK) for c in categorical},
-        [r["column_name"] for r in high],
+        [r["column_name"] for r in missing if r["high_missing"]],
+        [r["column_name"] for r in missing],
     )
 
 
 def fill_missing(df: DataFrame, fills: FillValues) -> DataFrame:
     """Apply learned values; columns the frame does not have are passed over.
 
-    A median may fall between two integers, so a filled integer column becomes double.
+    A median may fall between two integers: an integer column that had gaps in the fit then
+    becomes double.  One that had none keeps its type (keys above all).
     """
     kinds = dict(df.dtypes)
     changed = {}
     for c, value in fills.numeric.items():
         if c in kinds and value is not None:
-            whole = float(value).is_integer()
-            changed[c] = F.coalesce(F.col(c), F.lit(value).cast(kinds[c])) if whole else F.coalesce(as_double(c), F.lit(value))
+            widen = c in fills.had_missing and not float(value).is_integer()
+            changed[c] = F.coalesce(as_double(c), F.lit(value)) if widen else F.coalesce(F.col(c), F.lit(value).cast(kinds[c]))
     for c, value in fills.categorical.items():
         if c in kinds:
             changed[c] = F.coalesce(F.col(c), F.lit(value).try_cast(kinds[c]))
@@ -299,14 +302,15 @@ def clean(
     drop_high_missing: bool = False,
     placeholder_values: list[str] | None = None,
     direct_limit: int = DIRECT_LIMIT,
+    stage: Callable[[DataFrame], DataFrame] = DataFrame.persist,
 ) -> tuple[DataFrame, CleaningModel, CleaningReport]:
     """Duplicates, placeholders, types, missing values, near-constant columns, in this order.
 
-    The frame after duplicate removal is scanned several times, so it is persisted; the caller
-    may write the result and then call ``unpersist`` on the session's cache.
+    The frame after duplicate removal, the one full shuffle of the step, is scanned several times:
+    ``stage`` keeps it.  The default persists it; large jobs pass ``session.write_stage``.
     """
     source = nan_to_null(df)
-    unique = source.dropDuplicates().persist()
+    unique = stage(source.dropDuplicates())
     n_in, n_unique = source.count(), unique.count()
     counts = {r["column_name"]: r["n_placeholders"] for r in placeholder_counts(unique, placeholder_values).collect()} if _text_columns(unique) else {}
     normalized = placeholders_to_null(unique, placeholder_values)

@@ -55,7 +55,8 @@ def correlation(a: Column, b: Column) -> Column:
     """Pearson over rows where both are present; null when either is constant there."""
     both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
     r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
-    return F.when(~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    # greatest and least pass over nulls, so an undefined r must not reach them.
+    return F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries: importing the modules registers them."""
 
-from flatspan.plans import q_flatten  # noqa: F401
+from flatspan.plans import q_clean, q_evaluate, q_features, q_flatten, q_profile, q_split  # noqa: F401
 from flatspan.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
