@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatspan.functions.quantiles import DIRECT_LIMIT, count_and_range, exact_quantiles
+from flatspan.functions.quantiles import DIRECT_LIMIT, exact_quantiles
 from flatspan.functions.schema import as_double, as_text
 from flatspan.functions.seeded import seeded_sample
 from flatspan.operators.features import distinct_counts
@@ -236,14 +236,12 @@ def _by_segment(scored: DataFrame, columns: list[str], sums: dict[str, Column])
 
 
 def _against_overall(rows: DataFrame, metrics: list[str], min_rows: int) -> DataFrame:
-    """Puts the overall metrics (one row) next to each segment with enough rows."""
-    overall = rows.where(F.col("segment_column").isNull()).select(
-        F.lit(1).alias("_one"), *[F.col(m).alias(f"overall_{m}") for m in metrics]
-    )
+    """Puts the overall metrics (one row, a scalar subquery) next to each segment with enough rows."""
+    overall = rows.where(F.col("segment_column").isNull()).select(F.struct(*metrics)).scalar()
     segments = rows.where(
         F.col("segment_column").isNotNull() & F.col("segment_value").isNotNull() & (F.col("n") >= min_rows)
-    ).withColumn("_one", F.lit(1))
-    return segments.join(F.broadcast(overall), "_one").drop("_one")
+    ).withColumn("_overall", overall)
+    return segments.withColumns({f"overall_{m}": F.col(f"_overall.{m}") for m in metrics}).drop("_overall")
 
 
 def is_elevated(segment: Column, overall: Column, absolute: float | None = None) -> Column:
@@ -380,7 +378,3 @@ def prediction_points(
         F.round(as_double(predicted), 6).alias("predicted"),
         F.round(as_double(actual) - as_double(predicted), 6).alias("residual"),
     )
-
-
-def score_spread(scored: DataFrame, score: str = "score") -> tuple[int, float, float]:
-    return count_and_range(scored, [score])[score]

@@ -96,9 +96,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = scored(spark, sf)
-    ece = evaluate.calibration_error(evaluate.reliability_bins(df, "actual", "score")).withColumn("one", F.lit(1))
-    brier = evaluate.brier_score(df, "actual", "score").withColumn("one", F.lit(1))
-    return ece.join(brier, "one").drop("one")
+    ece = evaluate.calibration_error(evaluate.reliability_bins(df, "actual", "score")).scalar()
+    return evaluate.brier_score(df, "actual", "score").withColumn("ece", ece)
 
 
 @query(
