@@ -98,7 +98,8 @@ def order_statistics(
     todo = [
         _Bracket(c, r, known[c][1], known[c][2], 0, known[c][0]) for c, wanted in ranks.items() for r in wanted
     ]
-    done: list[_Bracket] = []
+    done = [b for b in todo if b.open_rows <= open_limit]
+    todo = [b for b in todo if b.open_rows > open_limit]
     while todo:
         todo = _shrink(df, todo)
         done += [b for b in todo if b.open_rows <= open_limit]

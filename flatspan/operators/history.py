@@ -128,7 +128,7 @@ def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:
 def parse_decisions(answers: DataFrame, column: str) -> DataFrame:
     """Adds action and reason from ``ACTION:`` / ``REASON:`` lines: the last recognised action (none
     when there is none) and the last reason, else the first 300 characters of the answer."""
-    text = F.regexp_replace(F.col(column), r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85  ]", "\n")
+    text = F.regexp_replace(F.col(column), r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
     lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
     actions = F.filter(
         F.transform(

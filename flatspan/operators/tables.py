@@ -141,7 +141,7 @@ def run_captions(experiments: DataFrame) -> DataFrame:
 
 def _sections(text: Column) -> Column:
     """array<struct(header, body)> of the parts under ``## `` lines."""
-    lines = F.regexp_replace(text, r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85  ]", "\n")
+    lines = F.regexp_replace(text, r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
     parts = F.split(F.concat(F.lit("\n"), lines), r"\n## ", -1)
     return F.transform(
         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
@@ -159,6 +159,16 @@ def text_sections(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _header_has(word: str):
+    return lambda s: s["h"].contains(word)
+
+
+def _unused(sections: str, taken: list[str]) -> Column:
+    """The sections not yet given to one of the taken slots."""
+    used = F.array(*[F.coalesce(F.col(t)["i"], F.lit(-1)) for t in taken], F.lit(-1))
+    return F.filter(F.col(sections), lambda s: ~F.array_contains(used, s["i"]))
+
+
 def section_slots(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id and one column per slot: a section goes to the slot whose word its header has; slots still
     empty take the remaining sections in order."""
@@ -168,24 +178,11 @@ def section_slots(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     out = df.select(F.col(id_col), numbered.alias("s"))
     taken: list[str] = []
     for slot, word in SECTION_WORDS.items():
-        free = [F.col(t) for t in taken]
-
-        def fits(s, word=word, free=free):
-            test = s["h"].contains(word)
-            for t in free:
-                test = test & ~F.coalesce(s["i"] == t["i"], F.lit(False))
-            return test
-
-        out = out.withColumn(f"_{slot}", F.try_element_at(F.filter(F.col("s"), fits), F.lit(1)))
+        free = _unused("s", taken)
+        fitting = F.filter(free, _header_has(word))
+        out = out.withColumn(f"_{slot}", F.try_element_at(fitting, F.lit(1)))
         taken.append(f"_{slot}")
-
-    def unused(s):
-        test = F.lit(True)
-        for t in taken:
-            test = test & ~F.coalesce(s["i"] == F.col(t)["i"], F.lit(False))
-        return test
-
-    out = out.withColumn("_rest", F.filter(F.col("s"), unused))
+    out = out.withColumn("_rest", _unused("s", taken))
     columns, empty_before = [], F.lit(0)
     for t in taken:
         spare = F.try_element_at(F.col("_rest"), empty_before + 1)
