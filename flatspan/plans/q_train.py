@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from flatspan.operators import evaluate, features, profile, split, train
 from flatspan.plans import marts
-from flatspan.plans.base import query, table
+from flatspan.plans.base import kept, query, table
 from flatspan.plans.marts import SCORED_CTE
 from flatspan.plans.q_features import PROTECTED, feature_input
 from flatspan.plans.q_split import RULES
@@ -18,16 +18,21 @@ from flatspan.plans.q_split import RULES
 CONFIG = train.Config(
     folds=3,
     grids={
-        "logistic_regression": {"C": [0.1, 1], "max_iter": [50]},
-        "random_forest": {"trees": [10], "depth": [5]},
-        "gradient_boosting": {"iterations": [5], "rate": [0.1]},
+        "logistic_regression": {"C": [1], "max_iter": [15]},
+        "random_forest": {"trees": [5], "depth": [4, 5]},
+        "gradient_boosting": {"iterations": [3], "rate": [0.1]},
     },
     importance_repeats=5,
+    nested=False,
 )
 
 
 def training_frame(spark, sf):
-    """Orders with the purchase day, engineered on all rows that are not protected."""
+    return kept(spark, sf, "training_frame", engineered)
+
+
+def engineered(spark, sf):
+    """Orders with the purchase day, after the feature step; key, customer and label protected."""
     day = marts.order_mart(spark, sf).select("o_orderkey", F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")).alias("purchase_day"))
     df = feature_input(spark, sf).join(day, "o_orderkey")
     return features.apply_features(df, features.fit_features(df, protected=PROTECTED))
@@ -46,15 +51,15 @@ def result(spark, sf, kind: str = "binary") -> train.Result:
             _results[key] = train.train(frame, "total_price", "o_orderkey", config=regression_config())
         else:
             vectors = table(spark, sf, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(8)])
-            config = train.Config(folds=3, grids={"logistic_regression": {"C": [1], "max_iter": [50]}, "random_forest": {"trees": [10], "depth": [5]}}, importance_repeats=3)
+            grids = {"logistic_regression": {"C": [1], "max_iter": [15]}, "random_forest": {"trees": [5], "depth": [5]}}
+            config = train.Config(folds=3, grids=grids, importance_repeats=3, nested=False)
             _results[key] = train.train(vectors, "label", "vec_id", config=config)
     return _results[key]
 
 
 def regression_config():
-    return train.Config(
-        folds=3, grids={"linear_regression": {}, "random_forest": {"trees": [10], "depth": [5]}, "gradient_boosting": {"iterations": [5], "rate": [0.1]}}, importance_repeats=3
-    )
+    grids = {"linear_regression": {}, "random_forest": {"trees": [5], "depth": [4]}, "gradient_boosting": {"iterations": [3], "rate": [0.1]}}
+    return train.Config(folds=3, grids=grids, importance_repeats=3, nested=False)
 
 
 def _metric_rows(spark, r):
@@ -100,7 +105,7 @@ def _(spark, sf):
 @query("nested_cv")
 def _(spark, sf):
     r = result(spark, sf)
-    score, std = r.nested or (None, None)
+    score, std = train.nested_cv(r.prepared, r.best, CONFIG) or (None, None)
     return spark.createDataFrame([(r.best, score, std)], "model string, nested_cv_score double, nested_cv_std double")
 
 
@@ -118,7 +123,7 @@ def _(spark, sf):
 
 @query("robustness_run")
 def _(spark, sf):
-    small = train.Config(folds=3, grids={"logistic_regression": {"C": [1], "max_iter": [30]}}, importance_repeats=2)
+    small = train.Config(folds=3, grids={"random_forest": {"trees": [5], "depth": [4]}}, importance_repeats=2)
     runs = train.run_seeds(training_frame(spark, sf), "is_late", "o_orderkey", "o_custkey", (42, 7), small)
     return train.metric_stability(runs.metrics)
 
