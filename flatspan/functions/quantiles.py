@@ -4,10 +4,10 @@
 columns and impossible for large ones, so the work is split by row count:
 
 * up to ``direct_limit`` rows: ``percentile`` in one aggregate;
-* above: a quantile sketch brackets each wanted rank, one more aggregate counts the rows below and
-  inside the bracket, and the bracket shrinks until few rows are strictly inside.  Only those rows
-  are then grouped by value and ranked.  Each round is one scan with map-side partial aggregates,
-  and shrinks a bracket about two thousand times.
+* above: a histogram over the column's range finds the bin of each wanted rank, and the bin's own
+  smallest and largest value become the next range.  A bin holds few rows, or one value, after one
+  or two rounds; each round is one scan with counts combined before the shuffle, for all columns at
+  once.  The rows of the last bins are then grouped by value and ranked.
 """
 
 from __future__ import annotations
@@ -20,20 +20,21 @@ from pyspark.sql import functions as F
 
 from flatspan.functions.schema import as_double
 
-DIRECT_LIMIT = 1_000_000
-SKETCH_ACCURACY = 10_000
+DIRECT_LIMIT = 20_000
+OPEN_LIMIT = 100_000
+BINS = 4096
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Bracket:
-    """Rows of ``column`` in [low, high]; ``below`` rows lie under it; the wanted row is ``rank``."""
+    """``rows`` rows of ``column`` lie in [low, high], ``below`` rows under it; ``rank`` is inside."""
 
     column: str
     rank: int
     low: float
     high: float
     below: int
-    open_rows: int  # rows strictly between low and high
+    rows: int
 
     def covers(self):
         c = as_double(self.column)
@@ -77,7 +78,7 @@ def exact_quantiles(
         for c in large:
             spots = [(known[c][0] - 1) * p for p in probabilities]
             ranks[c] = sorted({f(s) for s in spots for f in (math.floor, math.ceil)})
-        values = order_statistics(df, ranks, direct_limit, known)
+        values = order_statistics(df, ranks, OPEN_LIMIT if direct_limit >= DIRECT_LIMIT else direct_limit, known)
         for c in large:
             for j, p in enumerate(probabilities):
                 spot = (known[c][0] - 1) * p
@@ -90,85 +91,83 @@ def exact_quantiles(
 def order_statistics(
     df: DataFrame,
     ranks: dict[str, list[int]],
-    open_limit: int = DIRECT_LIMIT,
+    open_limit: int = OPEN_LIMIT,
     known: dict[str, tuple[int, float, float]] | None = None,
 ) -> dict[tuple[str, int], float]:
     """The value at each zero-based rank of each column, exactly."""
     known = known or count_and_range(df, list(ranks))
-    todo = [
+    brackets = [
         _Bracket(c, r, known[c][1], known[c][2], 0, known[c][0]) for c, wanted in ranks.items() for r in wanted
     ]
-    done = [b for b in todo if b.open_rows <= open_limit]
-    todo = [b for b in todo if b.open_rows > open_limit]
-    while todo:
-        todo = _shrink(df, todo)
-        done += [b for b in todo if b.open_rows <= open_limit]
-        todo = [b for b in todo if b.open_rows > open_limit]
-    return _pick(df, done)
+    found: dict[tuple[str, int], float] = {}
+    small: list[_Bracket] = []
+    while brackets:
+        found |= {(b.column, b.rank): b.low for b in brackets if b.low == b.high}
+        brackets = [b for b in brackets if b.low < b.high]
+        small += [b for b in brackets if b.rows <= open_limit]
+        brackets = [b for b in brackets if b.rows > open_limit]
+        if brackets:
+            brackets = _shrink(df, brackets)
+    return found | _pick(df, small)
 
 
 def _shrink(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
-    edges = []
-    for i, b in enumerate(brackets):
-        inside = F.when(b.covers(), as_double(b.column))
-        size = F.count(inside)
-        # Sketch ranks are relative to the rows inside; the row count is only known after the
-        # scan, so a fixed fan of probabilities is asked for and the right pair picked below.
-        edges += [size.alias(f"m{i}"), F.percentile_approx(inside, _FAN, SKETCH_ACCURACY).alias(f"e{i}")]
-    row = df.agg(*edges).first()
-    counts = []
-    for i, b in enumerate(brackets):
-        spot = (b.rank - b.below) / max(row[f"m{i}"], 1)
-        values = row[f"e{i}"]
-        # One fan step of slack on both sides covers the sketch's error (half a step).
-        left = math.floor(spot * (len(_FAN_POINTS) - 1)) - 1
-        right = math.ceil(spot * (len(_FAN_POINTS) - 1)) + 1
-        low = values[left] if left > 0 else b.low
-        high = values[right] if right < len(values) - 1 else b.high
-        c = as_double(b.column)
-        counts += [
-            F.count_if(c < F.lit(low)).alias(f"b{i}"),
-            F.count_if((c >= F.lit(low)) & (c <= F.lit(high))).alias(f"i{i}"),
-            F.count_if((c > F.lit(low)) & (c < F.lit(high))).alias(f"o{i}"),
-            F.lit(low).alias(f"low{i}"),
-            F.lit(high).alias(f"high{i}"),
-        ]
-    row = df.agg(*counts).first()
+    """One histogram per distinct range; the smallest and the largest value always fall in
+    different bins, so every round makes progress."""
+    spans = list(dict.fromkeys((b.column, b.low, b.high, b.below) for b in brackets))
+    cells, wanted = [], []
+    for i, (column, low, high, below) in enumerate(spans):
+        scale = 1.0 if math.isfinite(high - low) else 0.5
+        x = as_double(column)
+        share = (x * scale - F.lit(low * scale)) / F.lit(high * scale - low * scale)
+        inside = (x >= F.lit(low)) & (x <= F.lit(high))
+        place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+        cells.append(F.struct(F.lit(i).alias("s"), F.when(inside, place).alias("bin"), x.alias("x")))
+        inner = [b.rank - below for b in brackets if (b.column, b.low, b.high, b.below) == spans[i]]
+        wanted += [F.lit(i), F.array(*[F.lit(r).cast("long") for r in inner])]
+    counted = (
+        df.select(F.inline(F.array(*cells)))
+        .where("bin IS NOT NULL")
+        .groupBy("s", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    )
+    running = Window.partitionBy("s").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hits = (
+        counted.withColumn("upto", F.sum("n").over(running))
+        .withColumn("rank", F.explode(F.create_map(*wanted)[F.col("s")]))
+        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .collect()  # one row per bracket
+    )
     out = []
-    for i, b in enumerate(brackets):
-        below, inside, between = row[f"b{i}"], row[f"i{i}"], row[f"o{i}"]
-        low, high = row[f"low{i}"], row[f"high{i}"]
-        if not below <= b.rank < below + inside:
-            raise ArithmeticError(f"quantile bracket of {b.column} lost rank {b.rank}")
-        out.append(_Bracket(b.column, b.rank, low, high, below, between))
+    for r in hits:
+        column, _, _, below = spans[r["s"]]
+        out.append(_Bracket(column, r["rank"] + below, r["low"], r["high"], below + r["upto"] - r["n"], r["n"]))
     return out
 
 
-_FAN_POINTS = [i / 2000 for i in range(2001)]
-_FAN = _FAN_POINTS
-
-
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
     if not brackets:
         return {}
-    tagged = F.array(
-        *[
-            F.struct(F.lit(i).alias("t"), F.when(b.covers(), as_double(b.column)).alias("v"))
-            for i, b in enumerate(brackets)
-        ]
-    )
+    spans = list(dict.fromkeys((b.column, b.low, b.high, b.below) for b in brackets))
+    first = {span: next(b for b in brackets if (b.column, b.low, b.high, b.below) == span) for span in spans}
+    tagged, wanted = [], []
+    for i, span in enumerate(spans):
+        b = first[span]
+        tagged.append(F.struct(F.lit(i).alias("s"), F.when(b.covers(), as_double(b.column)).alias("v")))
+        inner = sorted({x.rank - x.below for x in brackets if (x.column, x.low, x.high, x.below) == span})
+        wanted += [F.lit(i), F.array(*[F.lit(r).cast("long") for r in inner])]
     counted = (
-        df.select(F.explode(F.filter(tagged, lambda s: s["v"].isNotNull())).alias("s"))
-        .groupBy(F.col("s.t").alias("t"), F.col("s.v").alias("v"))
+        df.select(F.inline(F.array(*tagged)))
+        .where("v IS NOT NULL")
+        .groupBy("s", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.create_map(*[x for i, b in enumerate(brackets) for x in (F.lit(i), F.lit(b.rank - b.below))])
+    running = Window.partitionBy("s").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
         counted.withColumn("upto", F.sum("n").over(running))
-        .withColumn("want", wanted[F.col("t")])
-        .where((F.col("upto") > F.col("want")) & (F.col("upto") - F.col("n") <= F.col("want")))
-        .select("t", "v")
-        .collect()  # one row per bracket
+        .withColumn("rank", F.explode(F.create_map(*wanted)[F.col("s")]))
+        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .select("s", "v", "rank")
+        .collect()  # one row per wanted rank
     )
-    return {(brackets[r["t"]].column, brackets[r["t"]].rank): r["v"] for r in hits}
+    return {(spans[r["s"]][0], r["rank"] + spans[r["s"]][3]): r["v"] for r in hits}

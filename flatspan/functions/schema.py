@@ -76,6 +76,19 @@ def content_id(df: DataFrame, name: str = "row_id", columns: Iterable[str] | Non
     return df.withColumn(name, F.md5(F.concat_ws("\u0001", *parts)))
 
 
+# What counts as white space at the ends of a text, and as a line end inside it.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+LINE_ENDS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
 def strip(value: Column) -> Column:
     """Cut white space of every kind at both ends."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
+
+
+def plain_lines(text: Column) -> Column:
+    """Every kind of line end as a newline."""
+    return F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), LINE_ENDS, "\n" * len(LINE_ENDS))

@@ -1,8 +1,7 @@
 """From relational tables to one flat analysis table.
 
 The detail tables are aggregated to one row per order before they are joined, so no join fans out.
-All aggregates combine before the shuffle (counts, sums, minima, a mode whose buffer holds the few
-names of an attribute), so an order with very many lines is no hot spot.  Joins are plain LEFT
+All aggregates combine before the shuffle, so an order with very many lines is no hot spot.  Joins are plain LEFT
 equi-joins: Spark broadcasts a side only below ``spark.sql.autoBroadcastJoinThreshold`` and splits
 skewed partitions at run time otherwise.
 """
@@ -23,13 +22,47 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return joined.drop(dim[dim_key])
 
 
-def mode_of(column: str, default: str | None = None) -> Column:
-    """Most frequent non-null value, ties to the smallest; ``default`` when there is none.
+def summarise_by_key(
+    df: DataFrame,
+    key: str,
+    measures: dict[str, tuple[str, str]],
+    distinct: dict[str, str],
+    modes: dict[str, tuple[str, str | None]],
+) -> DataFrame:
+    """One row per key: measures (``count``, ``sum``, ``avg`` or ``max`` of a column), numbers of
+    distinct values, and modes (most frequent text, ties to the smallest, a default when none).
 
-    For attributes with few names.  For columns of any cardinality use ``clean.column_modes``.
+    Each input row becomes one row per attribute and one for the measures.  These are counted per
+    (key, attribute, value) and then folded per key, both times combined before the shuffle: a key
+    with a third of all rows is spread over its values first, and no buffer holds a set or a map.
     """
-    mode = F.mode(F.col(column), True)
-    return mode if default is None else F.coalesce(mode, F.lit(default))
+    slots = [*distinct.items(), *[(name, column) for name, (column, _) in modes.items()]]
+    slot = F.col("_slot")
+    value = F.lit(None).cast("string")
+    for i, (_, column) in enumerate(slots, 1):
+        value = F.when(slot == i, F.col(column).cast("string")).otherwise(value)
+    spread = df.withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in range(len(slots) + 1)])))
+    pieces = {f"_{kind}_{name}": F.when(slot == 0, F.col(column)) for name, (kind, column) in measures.items()}
+    wide = spread.select(key, "_slot", value.alias("_value"), *[c.alias(n) for n, c in pieces.items()])
+    first, second = [F.count(F.lit(1)).alias("_n")], []
+    for name, (kind, _) in measures.items():
+        x = f"_{kind}_{name}"
+        first.append({"count": F.count, "sum": F.sum, "avg": F.sum, "max": F.max}[kind](x).alias(x))
+        if kind == "avg":
+            first.append(F.count(x).alias(f"{x}_n"))
+            second.append(F.try_divide(F.sum(x), F.sum(f"{x}_n")).alias(name))
+        else:
+            second.append((F.max(x) if kind == "max" else F.sum(x)).alias(name))
+    present = F.col("_value").isNotNull()
+    for i, (name, _) in enumerate(slots, 1):
+        here = present & (slot == i)
+        if name in distinct:
+            second.append(F.count_if(here).alias(name))
+        else:
+            best = F.min(F.when(here, F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("v"))))["v"]
+            default = modes[name][1]
+            second.append((best if default is None else F.coalesce(best, F.lit(default))).alias(name))
+    return wide.groupBy(key, "_slot", "_value").agg(*first).groupBy(key).agg(*second)
 
 
 def aggregate_items(
@@ -47,26 +80,29 @@ def aggregate_items(
     delivered: str,
 ) -> DataFrame:
     """One row per order from its item lines (already joined to product and seller)."""
-    return items.groupBy(key).agg(
-        F.count(line).alias("n_items"),
-        F.count_distinct(F.col(seller)).alias("n_distinct_sellers"),
-        F.count_distinct(F.col(product)).alias("n_distinct_products"),
-        F.sum(price).alias("total_price"),
-        F.sum(freight).alias("total_freight"),
-        F.avg(weight).alias("avg_product_weight"),
-        F.avg(photos).alias("avg_product_photos"),
-        mode_of(seller_region).alias("primary_seller_region"),
-        mode_of(category, MODE_FALLBACK).alias("product_category"),
-        F.max(delivered).alias("delivered_at"),
+    return summarise_by_key(
+        items,
+        key,
+        {
+            "n_items": ("count", line),
+            "total_price": ("sum", price),
+            "total_freight": ("sum", freight),
+            "avg_product_weight": ("avg", weight),
+            "avg_product_photos": ("avg", photos),
+            "delivered_at": ("max", delivered),
+        },
+        {"n_distinct_sellers": seller, "n_distinct_products": product},
+        {"primary_seller_region": (seller_region, None), "product_category": (category, MODE_FALLBACK)},
     )
 
 
 def aggregate_payments(payments: DataFrame, key: str, value: str, installments: str, kind: str) -> DataFrame:
-    return payments.groupBy(key).agg(
-        F.sum(value).alias("total_payment_value"),
-        F.max(installments).alias("max_installments"),
-        F.count_distinct(F.col(kind)).alias("n_payment_methods"),
-        mode_of(kind).alias("primary_payment_type"),
+    return summarise_by_key(
+        payments,
+        key,
+        {"total_payment_value": ("sum", value), "max_installments": ("max", installments)},
+        {"n_payment_methods": kind},
+        {"primary_payment_type": (kind, None)},
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flatspan.functions.schema import plain_lines, strip
+
 RUN_SCHEMA = (
     "run_id string, step string, started_at timestamp_ntz, finished_at timestamp_ntz, status string, input_path string, "
     "output_path string, error_message string, duration_seconds double"
@@ -128,20 +130,15 @@ def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:
 def parse_decisions(answers: DataFrame, column: str) -> DataFrame:
     """Adds action and reason from ``ACTION:`` / ``REASON:`` lines: the last recognised action (none
     when there is none) and the last reason, else the first 300 characters of the answer."""
-    text = F.regexp_replace(F.col(column), r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
-    lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-    actions = F.filter(
-        F.transform(
-            F.filter(lines, lambda x: F.upper(x).startswith("ACTION:")),
-            lambda x: F.lower(F.regexp_replace(x, r"(?U)^[^:]*:\s*", "")),
-        ),
-        lambda a: a.isin(RECOVERY_ACTIONS),
-    )
-    reasons = F.transform(
-        F.filter(lines, lambda x: F.upper(x).startswith("REASON:")), lambda x: F.regexp_replace(x, r"(?U)^[^:]*:\s*", "")
-    )
-    last_reason = F.try_element_at(reasons, F.lit(-1))
-    whole = F.substring(F.regexp_replace(F.col(column), r"(?U)^\s+|\s+$", ""), 1, 300)
+    lines = F.transform(F.split(plain_lines(F.col(column)), "\n"), strip)
+
+    def after(label: str) -> Column:
+        found = F.filter(lines, lambda x: F.upper(x).startswith(label))
+        return F.transform(found, lambda x: strip(F.substr(x, F.lit(len(label) + 1))))
+
+    actions = F.filter(F.transform(after("ACTION:"), F.lower), lambda a: a.isin(RECOVERY_ACTIONS))
+    last_reason = F.try_element_at(after("REASON:"), F.lit(-1))
+    whole = F.substring(strip(F.col(column)), 1, 300)
     return answers.withColumn("action", F.try_element_at(actions, F.lit(-1))).withColumn(
         "reason", F.when(F.coalesce(last_reason, F.lit("")) != "", last_reason).otherwise(whole)
     )

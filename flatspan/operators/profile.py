@@ -51,23 +51,41 @@ def _moments(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
     }
 
 
-def correlation(a: Column, b: Column) -> Column:
-    """Pearson over rows where both are present; null when either is constant there."""
-    both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+def correlation(a: Column, b: Column, spread: Column | None = None) -> Column:
+    """Pearson over rows where both are present; null when either is constant there.
+
+    ``spread`` is the product of the two standard deviations where it is known already.
+    """
+    if spread is None:
+        spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    r = F.try_divide(F.covar_pop(a, b), spread)
     # greatest and least pass over nulls, so an undefined r must not reach them.
     return F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """col_a, col_b, r for each unordered pair, in column order; no row for fewer than two columns."""
+    """col_a, col_b, r for each unordered pair, in column order; no row for fewer than two columns.
+
+    A first pass finds the columns without gaps: their deviations are the same in every pair, which
+    leaves one aggregate per pair.
+    """
     cols = columns or numeric_columns(df)
     pairs = list(itertools.combinations(cols, 2))
     empty = df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+    if not pairs:
+        return empty
+    gaps = df.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(True)).alias(f"g{i}") for i, c in enumerate(cols)]).first()
+    full = {c for i, c in enumerate(cols) if not gaps[f"g{i}"]}
     out = None
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         part = pairs[start : start + PAIRS_PER_PASS]
-        one_row = df.agg(*[correlation(as_double(a), as_double(b)).alias(f"r{i}") for i, (a, b) in enumerate(part)])
+        deviation = {c: F.stddev_pop(as_double(c)) for c in full}
+        one_row = df.agg(
+            *[
+                correlation(as_double(a), as_double(b), deviation[a] * deviation[b] if {a, b} <= full else None).alias(f"r{i}")
+                for i, (a, b) in enumerate(part)
+            ]
+        )
         rows = one_row.select(
             F.inline(
                 F.array(
@@ -79,7 +97,7 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
             )
         )
         out = rows if out is None else out.unionByName(rows)
-    return empty if out is None else out
+    return out
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

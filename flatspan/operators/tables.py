@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspan.functions.quantiles import DIRECT_LIMIT, order_statistics
-from flatspan.functions.schema import strip
+from flatspan.functions.quantiles import order_statistics
+from flatspan.functions.schema import plain_lines, strip
 from flatspan.operators.clean import CleaningReport
 
 # Display names of metrics and tasks, and the words that place a section.
@@ -105,7 +105,7 @@ def page(df: DataFrame, number: int, size: int, order_by: str, near_limit: int =
     start = (min(max(1, number), pages) - 1) * size
     numeric = dict(df.dtypes)[order_by] in ("tinyint", "smallint", "int", "bigint")
     if start + size > near_limit and numeric and start < rows:
-        first = order_statistics(df, {order_by: [start]}, DIRECT_LIMIT)[order_by, start]
+        first = order_statistics(df, {order_by: [start]})[order_by, start]
         return df.where(F.col(order_by) >= F.lit(first)).orderBy(order_by).limit(size)
     return df.orderBy(order_by).offset(start).limit(size)
 
@@ -141,15 +141,14 @@ def run_captions(experiments: DataFrame) -> DataFrame:
 
 def _sections(text: Column) -> Column:
     """array<struct(header, body)> of the parts under ``## `` lines."""
-    lines = F.regexp_replace(text, r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", "\n")
-    parts = F.split(F.concat(F.lit("\n"), lines), r"\n## ", -1)
-    return F.transform(
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-        lambda part: F.struct(
-            strip(F.substring_index(part, "\n", 1)).alias("header"),
-            strip(F.when(F.instr(part, "\n") > 0, F.regexp_replace(part, r"^[^\n]*\n", "")).otherwise("")).alias("body"),
-        ),
-    )
+    parts = F.split(F.concat(F.lit("\n"), plain_lines(text)), "\n## ", -1)
+
+    def section(part):
+        end = F.instr(part, "\n")
+        body = F.when(end > 0, F.substr(part, end + 1)).otherwise("")
+        return F.struct(strip(F.substring_index(part, "\n", 1)).alias("header"), strip(body).alias("body"))
+
+    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), section)
 
 
 def text_sections(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -118,8 +118,9 @@ def prepare(df: DataFrame, target: str, id_col: str, group_col: str | None = Non
         label = (F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(target)) - 1).cast("double")
     keep = [id_col, *features]
     named = divided.select(*keep, F.col(target).alias("actual"), label.alias("label"), "is_test")
-    train_rows = named.where(~F.col("is_test"))
-    fills = clean.fit_fill_values(train_rows.select(*[as_double(c).alias(c) for c in features]))
+    gaps = [r["column_name"] for r in clean.missing_fractions(named.select(*features)).where("missing_fraction > 0").collect()]
+    train_rows = named.where(~F.col("is_test")).select(*[as_double(c).alias(c) for c in gaps])
+    fills = clean.fit_fill_values(train_rows) if gaps else clean.FillValues()
     fills.numeric = {c: 0.0 if v is None else v for c, v in fills.numeric.items()}
     ready = clean.fill_missing(named.select(id_col, *[as_double(c).alias(c) for c in features], "actual", "label", "is_test"), fills)
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(ready)

@@ -149,8 +149,7 @@ runs AS (SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS step, ts AS s
   round(value, 6) AS duration_seconds FROM raw)"""
 
 
-def step_events(spark, sf):
-    events = table(spark, sf, "events")
+def step_events(events):
     micros = F.round(F.col("value") * 1_000_000).cast("bigint")
     return events.select(
         F.col("event_id").cast("string").alias("run_id"),
@@ -165,7 +164,7 @@ def step_events(spark, sf):
 
 
 def runs(spark, sf):
-    out = history.run_rows(step_events(spark, sf))
+    out = history.run_rows(step_events(table(spark, sf, "events")))
     return out.withColumn("duration_seconds", F.round("duration_seconds", 6))
 
 
