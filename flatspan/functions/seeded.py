@@ -35,11 +35,11 @@ def hash_cutoffs(
     """Per value of ``by``: the hashes at the wanted 1-based ranks (in hash order).
 
     ``ranks_of`` maps the group's row count to the wanted ranks; rank 0 gives ``""``, below every
-    hash.  A histogram over the first three hex digits finds the bucket of each rank; only the rows
-    of those buckets (1 in 4096) are ranked.
+    hash.  A histogram over the first four hex digits finds the bucket of each rank; only the rows
+    of those buckets (1 in 65536) are ranked.
     """
     group = F.col(by) if by else F.lit(0)
-    keys = df.select(group.alias("g"), F.substring(hash_col, 1, 3).alias("b"), F.col(hash_col).alias("h"))
+    keys = df.select(group.alias("g"), F.substring(hash_col, 1, 4).alias("b"), F.col(hash_col).alias("h"))
     histogram = keys.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
     running = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = histogram.withColumn("upto", F.sum("n").over(running)).withColumn(

@@ -223,12 +223,12 @@ def top_value_shares(df: DataFrame, threshold: float = 0.99) -> DataFrame:
     """column_name, top_share, low_variance: columns where one value (null counts as one) has at
     least ``threshold`` of all rows.  ``top_share`` is given for those columns only.
 
-    For a threshold above one half only a sketch of frequent values is needed to name the one
+    For a threshold clearly above one half only a sketch of frequent values is needed to name the one
     possible candidate per column, and a second aggregate counts it: two scans with one row per
     task to shuffle, however many distinct values the columns have.
     """
     cols = [f.name for f in df.schema]
-    if threshold <= 0.5:
+    if threshold <= 0.51:  # the sketch is within half a percent
         return _top_shares_by_count(df, cols, threshold)
     sketch = df.agg(
         F.count(F.lit(1)).alias("_rows"),

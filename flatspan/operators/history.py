@@ -88,6 +88,13 @@ def decode_maps(experiments: DataFrame, columns: list[str], value_type: str = "d
     return experiments.withColumns({c: F.from_json(F.coalesce(F.col(c), F.lit("{}")), f"map<string,{value_type}>") for c in columns})
 
 
+def recent_experiments(experiments: DataFrame, limit: int = 50) -> DataFrame:
+    """Latest first, with the JSON columns decoded."""
+    latest = experiments.orderBy(F.col("logged_at").desc(), F.col("experiment_id").desc()).limit(limit)
+    decoded = decode_maps(latest, ["cv_scores", "cv_std", "test_metrics"])
+    return decode_maps(decoded, ["best_hyperparameters"], "string")
+
+
 def primary_metric(experiments: DataFrame, metrics: str = "test_metrics") -> DataFrame:
     """Adds primary_metric_name and primary_metric_value (4 digits): the first of a fixed list that
     the run has, else the run's first metric."""

@@ -258,6 +258,14 @@ def _(spark, sf):
     return out.withColumns({"x": F.round("x", 6), "y": F.round("y", 3)})
 
 
+@query(
+    "scatter_points",
+    f"WITH {FLAT_CTE} SELECT CAST(n_items AS DOUBLE) AS x, round(total_price, 4) AS y FROM order_mart ORDER BY md5('42:' || o_orderkey) LIMIT 2000",
+)
+def _(spark, sf):
+    return charts.scatter_points(mart(spark, sf), "n_items", "total_price", "o_orderkey").withColumn("y", F.round("y", 4))
+
+
 @query(
     "segment_bars",
     f"""WITH {SEGMENT_BINARY_CTE}, bars AS (SELECT *, segment_value || CASE WHEN elevated_false_negative_rate OR elevated_false_positive_rate THEN '*' ELSE '' END AS bar

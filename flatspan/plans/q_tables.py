@@ -249,6 +249,33 @@ def _(spark, sf):
     return history.decode_maps(text, ["test_metrics"]).select("event_id", F.explode("test_metrics").alias("metric", "value"))
 
 
+@query(
+    "recent_experiments",
+    """SELECT CAST(event_id AS VARCHAR) AS experiment_id, ts AS logged_at, event_type AS best_model_name,
+       CASE event_type WHEN 'click' THEN round(value / 2, 3) END AS roc_auc, 'depth_' || user_id AS depth
+       FROM events ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 50""",
+)
+def _(spark, sf):
+    path = new_stage_path(spark, "experiments")
+    made = experiments(spark, sf).join(table(spark, sf, "events").select("event_id", "user_id"), "event_id")
+    rows = made.withColumn("experiment_id", F.col("event_id").cast("string")).withColumn(
+        "best_hyperparameters", F.create_map(F.lit("depth"), F.concat(F.lit("depth_"), "user_id"))
+    )
+    rows = history.encode_maps(rows, ["test_metrics", "best_hyperparameters"])
+    present = set(rows.columns)
+    fields = [part.split() for part in history.EXPERIMENT_SCHEMA.split(", ")]
+    rows = rows.select(*[F.col(n) if n in present else F.lit(None).cast(t).alias(n) for n, t in fields])
+    run_files.append_experiments(rows, path)
+    latest = history.recent_experiments(run_files.read_history(spark, path, history.EXPERIMENT_SCHEMA))
+    return latest.select(
+        "experiment_id",
+        "logged_at",
+        "best_model_name",
+        F.try_element_at("test_metrics", F.lit("roc_auc")).alias("roc_auc"),
+        F.try_element_at("best_hyperparameters", F.lit("depth")).alias("depth"),
+    )
+
+
 def headline(spark, sf):
     text = history.encode_maps(experiments(spark, sf), ["test_metrics"])
     return history.primary_metric(history.decode_maps(text, ["test_metrics"]))

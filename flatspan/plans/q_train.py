@@ -105,7 +105,7 @@ def _(spark, sf):
 @query("nested_cv")
 def _(spark, sf):
     r = result(spark, sf)
-    small = {"logistic_regression": {"C": [0.1, 1], "max_iter": [10]}, "random_forest": {"trees": [3], "depth": [3, 5]}, "gradient_boosting": {"iterations": [2], "rate": [0.1, 0.2]}}
+    small = {"logistic_regression": {"C": [0.1, 1], "max_iter": [8]}, "random_forest": {"trees": [3], "depth": [3, 4]}, "gradient_boosting": {"iterations": [2], "rate": [0.1, 0.2]}}
     score, std = train.nested_cv(r.prepared, r.best, train.Config(folds=2, grids=small), outer=2) or (None, None)
     return spark.createDataFrame([(r.best, score, std)], "model string, nested_cv_score double, nested_cv_std double")
 
