@@ -10,7 +10,8 @@ import itertools
 import logging
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
@@ -172,28 +173,39 @@ def grid_points(grid: Grid) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def score(predicted: DataFrame, task: str) -> float:
-    """What selection maximises: macro F1, or minus the root mean squared error."""
+def fold_scores(predicted: DataFrame, task: str, fold: str) -> dict[int, float]:
+    """What selection maximises, per fold: macro F1, or minus the root mean squared error."""
     if task == split.REGRESSION:
         gap = F.col("label") - F.col("prediction")
-        return -(predicted.agg(F.sqrt(F.avg(gap * gap))).first()[0])
-    return evaluate.macro_scores(predicted, "label", "prediction").first()["f1_macro"]
+        rows = predicted.groupBy(fold).agg((-F.sqrt(F.avg(gap * gap))).alias("s"))
+    else:
+        rows = evaluate.macro_scores(predicted, "label", "prediction", [fold]).withColumnRenamed("f1_macro", "s")
+    return {r[fold]: round(r["s"], 6) for r in rows.collect()}
 
 
-def cross_validate(p: Prepared, name: str, params: dict, seed: int, train: DataFrame | None = None, fold: str = "fold", folds: int = FOLDS) -> list[float]:
-    frame = p.train if train is None else train
-    scores = []
-    for k in range(folds):
-        model = estimator(name, params, p.task, len(p.labels), p.n_train, seed).fit(frame.where(F.col(fold) != k))
-        scores.append(round(score(model.transform(frame.where(F.col(fold) == k)), p.task), 6))
-    return scores
+def cross_validate(p: Prepared, name: str, points: list[dict], config: Config, frame: DataFrame, fold: str, folds: int) -> list[list[float]]:
+    """Scores per grid point and fold.  All fits are independent; each point's out-of-fold
+    predictions are then scored in one aggregate."""
+
+    def fit(task: tuple[int, int]) -> Model:
+        i, k = task
+        return estimator(name, points[i], p.task, len(p.labels), p.n_train, config.seed).fit(frame.where(F.col(fold) != k))
+
+    def scores(i: int) -> list[float]:
+        held = [models[i, k].transform(frame.where(F.col(fold) == k)).select(fold, "label", "prediction") for k in range(folds)]
+        by_fold = fold_scores(reduce(DataFrame.unionByName, held), p.task, fold)
+        return [by_fold[k] for k in sorted(by_fold)]
+
+    tasks = [(i, k) for i in range(len(points)) for k in range(folds)]
+    with ThreadPoolExecutor(config.parallelism) as pool:
+        models = dict(zip(tasks, pool.map(fit, tasks)))
+        return list(pool.map(scores, range(len(points))))
 
 
-def grid_search(p: Prepared, name: str, config: Config, train: DataFrame | None = None) -> tuple[dict, list[float]]:
+def grid_search(p: Prepared, name: str, config: Config, frame: DataFrame | None = None) -> tuple[dict, list[float]]:
     """(best parameters, their fold scores); the first of equal points stays."""
     points = grid_points(config.grids.get(name, {})) or [{}]
-    with ThreadPoolExecutor(config.parallelism) as pool:
-        scores = list(pool.map(lambda q: cross_validate(p, name, q, config.seed, train, "fold", config.folds), points))
+    scores = cross_validate(p, name, points, config, p.train if frame is None else frame, "fold", config.folds)
     best = max(range(len(points)), key=lambda i: (sum(scores[i]) / len(scores[i]), -i))
     return points[best], scores[best]
 
@@ -205,14 +217,15 @@ def nested_cv(p: Prepared, name: str, config: Config, outer: int = OUTER_FOLDS)
         return None
     label = None if p.task == split.REGRESSION else "label"
     outside = split.assign_folds(p.train.drop("fold"), p.id_col, outer, label, config.seed + 1, "outer_fold")
-    scores = []
+    held = []
     for k in range(outer):
         inner = split.assign_folds(outside.where(F.col("outer_fold") != k), p.id_col, config.folds, label, config.seed)
         inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
         params, _ = grid_search(p, name, config, inner)
         model = estimator(name, params, p.task, len(p.labels), p.n_train, config.seed).fit(inner)
-        scores.append(score(model.transform(outside.where(F.col("outer_fold") == k)), p.task))
+        held.append(model.transform(outside.where(F.col("outer_fold") == k)).select("outer_fold", "label", "prediction"))
         inner.unpersist()
+    scores = list(fold_scores(reduce(DataFrame.unionByName, held), p.task, "outer_fold").values())
     mean = sum(scores) / outer
     return round(mean, 6), round((sum((s - mean) ** 2 for s in scores) / outer) ** 0.5, 6)
 
@@ -360,7 +373,7 @@ def train(
             found[name] = params
             rows += [(name, k, s) for k, s in enumerate(scores)]
             log.info("%s %s: %s", name, params, scores)
-    fold_scores = spark.createDataFrame(rows, "model string, fold int, score double")
+    per_fold = spark.createDataFrame(rows, "model string, fold int, score double")
     means = {name: sum(s for n, _, s in rows if n == name) / config.folds for name in found}
     best = max(found, key=lambda n: round(means[n], 6))  # the first of equal candidates stays
     nested = nested_cv(p, best, config) if config.nested else None
@@ -372,7 +385,7 @@ def train(
         model, p.test, p, config.importance_rows, config.importance_repeats, config.top_features, config.seed
     )
     return Result(
-        p.task, p.features, best, found[best], model, fold_scores, select.leaderboard(fold_scores), scored, test_metrics(scored, p), importances, nested, p
+        p.task, p.features, best, found[best], model, per_fold, select.leaderboard(per_fold), scored, test_metrics(scored, p), importances, nested, p
     )
 
 
@@ -390,12 +403,20 @@ class Robustness:
 def run_seeds(df: DataFrame, target: str, id_col: str, group_col: str | None = None, seeds: Iterable[int] = SEEDS, config: Config = Config(), top: int = 5) -> Robustness:
     """One training run per seed, without saving a model; a seed that fails is listed, not counted."""
     models, metrics, features, failed = [], [], [], []
-    for seed in seeds:
+
+    def one(seed: int) -> Result | str:
         try:
-            result = train(df, target, id_col, group_col, Config(**{**config.__dict__, "seed": seed, "nested": False}))
+            return train(df, target, id_col, group_col, replace(config, seed=seed, nested=False))
         except Exception as exc:  # any failure of one seed must leave the others standing
             log.warning("seed %s failed: %s", seed, exc)
-            failed.append((seed, str(exc).splitlines()[0]))
+            return str(exc).splitlines()[0]
+
+    wanted = list(seeds)
+    with ThreadPoolExecutor(config.parallelism) as pool:
+        results = list(pool.map(one, wanted))
+    for seed, result in zip(wanted, results):
+        if isinstance(result, str):
+            failed.append((seed, result))
             continue
         models.append((seed, result.best))
         metrics += [(seed, k, float(v)) for k, v in result.metrics.items()]

@@ -24,6 +24,7 @@ CONFIG = train.Config(
     },
     importance_repeats=5,
     nested=False,
+    parallelism=6,
 )
 
 
@@ -52,14 +53,14 @@ def result(spark, sf, kind: str = "binary") -> train.Result:
         else:
             vectors = table(spark, sf, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(8)])
             grids = {"logistic_regression": {"C": [1], "max_iter": [15]}, "random_forest": {"trees": [5], "depth": [5]}}
-            config = train.Config(folds=3, grids=grids, importance_repeats=3, nested=False)
+            config = train.Config(folds=3, grids=grids, importance_repeats=3, nested=False, parallelism=6)
             _results[key] = train.train(vectors, "label", "vec_id", config=config)
     return _results[key]
 
 
 def regression_config():
     grids = {"linear_regression": {}, "random_forest": {"trees": [5], "depth": [4]}, "gradient_boosting": {"iterations": [3], "rate": [0.1]}}
-    return train.Config(folds=3, grids=grids, importance_repeats=3, nested=False)
+    return train.Config(folds=3, grids=grids, importance_repeats=3, nested=False, parallelism=6)
 
 
 def _metric_rows(spark, r):
@@ -106,7 +107,7 @@ def _(spark, sf):
 def _(spark, sf):
     r = result(spark, sf)
     small = {"logistic_regression": {"C": [0.1, 1], "max_iter": [8]}, "random_forest": {"trees": [3], "depth": [3, 4]}, "gradient_boosting": {"iterations": [2], "rate": [0.1, 0.2]}}
-    score, std = train.nested_cv(r.prepared, r.best, train.Config(folds=2, grids=small), outer=2) or (None, None)
+    score, std = train.nested_cv(r.prepared, r.best, train.Config(folds=2, grids=small, parallelism=4), outer=2) or (None, None)
     return spark.createDataFrame([(r.best, score, std)], "model string, nested_cv_score double, nested_cv_std double")
 
 
@@ -124,7 +125,7 @@ def _(spark, sf):
 
 @query("robustness_run")
 def _(spark, sf):
-    small = train.Config(folds=3, grids={"random_forest": {"trees": [5], "depth": [4]}}, importance_repeats=2)
+    small = train.Config(folds=3, grids={"random_forest": {"trees": [5], "depth": [4]}}, importance_repeats=2, parallelism=2)
     runs = train.run_seeds(training_frame(spark, sf), "is_late", "o_orderkey", "o_custkey", (42, 7), small)
     return train.metric_stability(runs.metrics)
 
