@@ -32,16 +32,17 @@ def summarise_by_key(
     """One row per key: measures (``count``, ``sum``, ``avg`` or ``max`` of a column), numbers of
     distinct values, and modes (most frequent text, ties to the smallest, a default when none).
 
-    Each input row becomes one row per attribute and one for the measures.  These are counted per
-    (key, attribute, value) and then folded per key, both times combined before the shuffle: a key
-    with a third of all rows is spread over its values first, and no buffer holds a set or a map.
+    Each input row becomes one row per attribute; the first of them also carries the measures.
+    These are counted per (key, attribute, value) and then folded per key, both times combined
+    before the shuffle: a key with a third of all rows is spread over its values first, and no
+    buffer holds a set or a map.
     """
     slots = [*distinct.items(), *[(name, column) for name, (column, _) in modes.items()]]
     slot = F.col("_slot")
     value = F.lit(None).cast("string")
-    for i, (_, column) in enumerate(slots, 1):
+    for i, (_, column) in enumerate(slots):
         value = F.when(slot == i, F.col(column).cast("string")).otherwise(value)
-    spread = df.withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in range(len(slots) + 1)])))
+    spread = df.withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in range(max(len(slots), 1))])))
     pieces = {f"_{kind}_{name}": F.when(slot == 0, F.col(column)) for name, (kind, column) in measures.items()}
     wide = spread.select(key, "_slot", value.alias("_value"), *[c.alias(n) for n, c in pieces.items()])
     first, second = [F.count(F.lit(1)).alias("_n")], []
@@ -54,7 +55,7 @@ def summarise_by_key(
         else:
             second.append((F.max(x) if kind == "max" else F.sum(x)).alias(name))
     present = F.col("_value").isNotNull()
-    for i, (name, _) in enumerate(slots, 1):
+    for i, (name, _) in enumerate(slots):
         here = present & (slot == i)
         if name in distinct:
             second.append(F.count_if(here).alias(name))

@@ -198,10 +198,10 @@ def _(spark, sf):
 @query(
     "run_health",
     f"""WITH {RUNS_CTE} SELECT time_bucket(INTERVAL 1 HOUR, started_at) AS window_start, step, count(*) AS n_runs,
-        count(*) FILTER (WHERE status = 'failure') AS n_failures, round(avg(duration_seconds), 6) AS avg_seconds FROM runs GROUP BY 1, 2""",
+        count(*) FILTER (WHERE status = 'failure') AS n_failures, round(avg(duration_seconds), 9) AS avg_seconds FROM runs GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    return history.run_health(runs(spark, sf)).withColumn("avg_seconds", F.round("avg_seconds", 6))
+    return history.run_health(runs(spark, sf)).withColumn("avg_seconds", F.round("avg_seconds", 9))
 
 
 # Experiments: which metrics a run has depends on the event type.
