@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from flatspan.llm.packing import op10_packing
 from flatspan.llm.simhash import op1_simhash
 
-QUERIES = {"op1_simhash": op1_simhash}
+QUERIES = {"op1_simhash": op1_simhash, "op10_packing": op10_packing}
 
 ORACLES: dict[str, str] = {}
