@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from flatspan.llm.packing import op10_packing
+from flatspan.llm.quality import op6_quality
 from flatspan.llm.simhash import op1_simhash
 from flatspan.llm.warc import op2_warc
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_warc": op2_warc, "op10_packing": op10_packing}
+QUERIES = {"op1_simhash": op1_simhash, "op2_warc": op2_warc, "op6_quality": op6_quality, "op10_packing": op10_packing}
 
 ORACLES: dict[str, str] = {}

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from flatspan.llm.components import Forest, connected
 from flatspan.session import write_stage
@@ -231,7 +232,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def fingerprints_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """All columns of ``docs`` and ``__fp``."""
-    schema = docs.schema.add("__fp", "long")
+    schema = StructType([*docs.schema.fields, StructField("__fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
