@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from flatspan.llm.decontaminate import OP7_SQL, op7_decontaminate
 from flatspan.llm.packing import op10_packing
+from flatspan.llm.pii import op9_pii
 from flatspan.llm.quality import op6_quality
 from flatspan.llm.simhash import op1_simhash
 from flatspan.llm.warc import op2_warc
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_warc": op2_warc, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op10_packing": op10_packing}
+QUERIES = {"op1_simhash": op1_simhash, "op2_warc": op2_warc, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op9_pii": op9_pii, "op10_packing": op10_packing}
 
 ORACLES: dict[str, str] = {"op7_decontaminate": OP7_SQL}
