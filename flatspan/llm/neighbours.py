@@ -48,6 +48,8 @@ LINKS = "a long, b long, sim double"
 
 def vectors_of(column: pa.Array, dtype: str) -> np.ndarray:
     """A binary column of equally long vectors as unit vectors in double precision."""
+    if not len(column):
+        return np.zeros((0, 1))
     raw = np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1).astype(np.float64)
     raw = raw / np.abs(raw).max(axis=1, keepdims=True)  # no overflow in squares
     return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
@@ -66,7 +68,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: int, rows: int) -> Iterator
             new[1:] |= key[1:] != key[:-1]
         return np.flatnonzero(new)
 
-    for batch in batches:
+    for batch in (x for x in batches if x.num_rows):
         held.append(batch)
         if sum(b.num_rows for b in held) >= rows:
             table = pa.concat_batches(held)
@@ -100,7 +102,7 @@ class Search:
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             planes = [np.random.default_rng([SEED, t]).standard_normal((dim, 32)) for t in tables]
             bits = 1 << np.arange(31, -1, -1, dtype=np.int64)
-            for batch in batches:
+            for batch in (x for x in batches if x.num_rows):
                 unit = vectors_of(batch.column(1), dtype)
                 for t, plane in zip(tables, planes, strict=True):
                     code = ((unit @ plane > 0) * bits).sum(axis=1)
@@ -196,7 +198,7 @@ class Search:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number the rows of each order in blocks, so that a block is a group: the first column becomes order and block in one."""
     seen: dict[int, int] = {}
-    for batch in batches:
+    for batch in (x for x in batches if x.num_rows):
         t = batch.column(0).to_numpy()
         number = np.empty(len(t), np.int64)
         for x in np.unique(t).tolist():
@@ -250,7 +252,7 @@ def audit(points: DataFrame, counts: DataFrame, dtype: str, threshold: float) ->
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = vectors_of(pa.array([queries.value[i : i + len(queries.value) // len(rows)] for i in range(0, len(queries.value), len(queries.value) // len(rows))]), dtype)
         total = np.zeros(len(unit), np.int64)
-        for batch in batches:
+        for batch in (x for x in batches if x.num_rows):
             data = vectors_of(batch.column(0), dtype)
             for at in range(0, len(data), 4096):
                 total += (unit @ data[at : at + 4096].T >= threshold).sum(axis=1)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flatspan.llm import unused
 from flatspan.session import write_stage
 
 #: The key of the surrogates; give your own to make them unpredictable.
@@ -248,20 +249,23 @@ def assign(entities: DataFrame, key: str = KEY, draw=surrogate) -> DataFrame:
     return entities.select("*", F.lit("").alias("surrogate")) if done is None else done.select("kind", "value", "surrogate")
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """All columns of ``docs``, texts with surrogates, and ``__kinds``: the kinds replaced, in order."""
+def pseudonymise(docs: DataFrame, key: str = KEY, kinds: str = "kinds") -> DataFrame:
+    """All columns of ``docs``, texts with surrogates, and as ``kinds`` the kinds replaced, in order."""
     found = write_stage(mentions(docs).distinct(), "pii-mentions")
     names = write_stage(assign(found.select("kind", "value"), key), "pii-surrogates")
     changes = found.join(names, ["kind", "value"]).select("doc_id", "text_hash", F.struct("start", "end", "kind", "said", "surrogate").alias("x"))
-    changes = changes.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("x")).alias("__changes"))
-    changes = write_stage(changes.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__changes"), "pii-changes")
-
-    marked = docs.withColumn("__candidate", candidates(F.col("text")))
-    clean = marked.where(~F.col("__candidate")).drop("__candidate").withColumn("__kinds", F.array().cast("array<string>"))
-    rest = marked.where("__candidate").drop("__candidate")
-    same = F.col("doc_id").cast("string").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    rest = rest.join(changes, same, "left").drop("__id", "__hash").withColumn("__kinds", F.col("__changes.kind"))
-    at = rest.columns.index("text"), rest.columns.index("__changes")
+    changes = changes.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("x")).alias("changes"))
+    of, text_hash, swaps, mark = (unused(docs, x) for x in ("of", "text_hash", "changes", "candidate"))
+    changes = write_stage(changes.select(F.col("doc_id").alias(of), F.col("text_hash").alias(text_hash), F.col("changes").alias(swaps)), "pii-changes")
+
+    marked = docs.withColumn(mark, candidates(F.col("text")))
+    none = F.array().cast("array<string>")
+    clean = marked.where(~F.col(mark)).drop(mark).withColumn(kinds, none)
+    rest = marked.where(mark).drop(mark)
+    same = F.col("doc_id").cast("string").eqNullSafe(F.col(of)) & (F.xxhash64("text") == F.col(text_hash))
+    rest = rest.join(changes, same, "left").drop(of, text_hash)
+    rest = rest.withColumn(kinds, F.coalesce(F.col(swaps)["kind"], none))
+    at = rest.columns.index("text"), rest.columns.index(swaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,8 +273,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if i == at[0] else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    changed = rest.mapInArrow(run, rest.schema).drop("__changes")
-    return clean.unionByName(changed.withColumn("__kinds", F.coalesce("__kinds", F.array().cast("array<string>"))))
+    return clean.unionByName(rest.mapInArrow(run, rest.schema).drop(swaps))
 
 
 def splice(text: str, changes: list[dict]) -> str:
@@ -283,4 +286,4 @@ def splice(text: str, changes: list[dict]) -> str:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs).select("doc_id", "text", F.size("__kinds").cast("long").alias("n_entities"), F.array_join("__kinds", ",").alias("kinds"))
+    return pseudonymise(docs).select("doc_id", "text", F.size("kinds").cast("long").alias("n_entities"), F.array_join("kinds", ",").alias("kinds"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from flatspan.llm import unused
 from flatspan.session import write_stage
 
 DIMENSIONS = 1 << 18
@@ -170,8 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
     return weights_of(*state)
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """All columns of ``docs`` and ``__score``."""
+def score(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
+    """All columns of ``docs`` and the score as ``name``."""
     model = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,19 +180,20 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             raw = [mean_weight(hasher.blocks(x.as_py()), w) for x in batch.column(batch.schema.get_field_index("text"))]
             out = 1 / (1 + np.exp(-np.clip(np.array(raw), -35, 35)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with the columns they have."""
-    return score(docs, fit(docs, labels)).where(F.col("__score") >= threshold).select(docs.columns)
+    name = unused(docs, "score")
+    return score(docs, fit(docs, labels), name).where(F.col(name) >= threshold).drop(name)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     weights = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = score(docs, weights)
-    predicted = (F.col("__score") >= THRESHOLD).cast("int").alias("predicted")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), predicted)
+    scored = score(docs, weights, "score")
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from flatspan.llm import unused
 from flatspan.llm.components import Forest, connected
 from flatspan.session import write_stage
 
@@ -225,20 +226,21 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     if twice:
         once = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
         return once.dropDuplicates(["doc_id"]).select(docs.columns)
-    marked = fingerprints_of(docs)
-    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked["__fp"] == kept["fp"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__fp"]).select(docs.columns)
+    name = unused(docs, "fp")
+    marked = fingerprints_of(docs, name)
+    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked[name] == kept["fp"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
 
 
-def fingerprints_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """All columns of ``docs`` and ``__fp``."""
-    schema = StructType([*docs.schema.fields, StructField("__fp", LongType())])
+def fingerprints_of(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
+    """All columns of ``docs`` and the fingerprint as ``name``."""
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             fps = np.array([fingerprint((x.as_py() or "").encode(), shingle) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

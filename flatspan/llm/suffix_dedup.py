@@ -188,7 +188,7 @@ def sorted_shards(pieces: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
-        for batch in batches:
+        for batch in (x for x in batches if x.num_rows):
             shard = batch.column(0).to_numpy()
             lengths = np.diff(np.frombuffer(batch.column(9).buffers()[1], np.int32)[batch.column(9).offset :][: len(shard) + 1])
             begins = np.flatnonzero(np.r_[last is None or shard[0] != last, shard[1:] != shard[:-1]])
