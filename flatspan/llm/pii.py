@@ -78,19 +78,22 @@ def _iban_rest(text: str) -> int:
 
 def find(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, normalised value) of every entity; kinds of persons tell the gender, as in "person/f"."""
-    for m in _PATTERN.finditer(text):
+    at = 0
+    while m := _PATTERN.search(text, at):
         kind = next(k for k in KINDS if m[k])
         said, (start, end) = m[kind], m.span(kind)
+        at = m.end()
         if kind == "person":
-            names = re.split(r"[  ]", said)
-            while names and not names[-1][0].isupper():
-                names.pop()
-            if not names or not all(n[0].isupper() for n in names):
+            # Only names with a capital are names; what follows them is looked at again.
+            names = re.split(r"[ \xa0]", said)
+            n = next((i for i, x in enumerate(names) if not x[0].isupper()), len(names))
+            said = said[: sum(map(len, names[:n])) + n - 1] if n else ""
+            at = end = start + len(said)
+            if not n:
                 continue
             title = m["title"]
             kind = "person/" + ("m" if title in _MALE else "f" if title in _FEMALE else "n")
-            said = " ".join(names)
-            end, value = start + len(said), said.casefold()
+            value = said.replace("\xa0", " ").casefold()
         elif kind == "email":
             value = said.lower()
         elif kind in ("secret", "key", "ip"):
