@@ -46,7 +46,7 @@ def count_and_range(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, f
     aggs = []
     for i, c in enumerate(columns):
         aggs += [
-            F.count(c).alias(f"n{i}"),
+            F.count(as_double(c)).alias(f"n{i}"),
             F.min(as_double(c)).alias(f"lo{i}"),
             F.max(as_double(c)).alias(f"hi{i}"),
         ]

@@ -44,26 +44,33 @@ def column_kinds(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, kind string")
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, which may hold dots and back quotes."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One notion of missing: NaN and infinity of float columns become null."""
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     bad = (float("inf"), float("-inf"))
     return df.select(
         *[
-            F.when(F.isnan(c) | F.col(c).isin(*bad), None).otherwise(F.col(c)).alias(c)
+            F.when(F.isnan(quoted(c)) | quoted(c).isin(*bad), None).otherwise(quoted(c)).alias(c)
             if c in floats
-            else F.col(c)
+            else quoted(c)
             for c in df.columns
         ]
     )
 
 
 def as_double(name: str | Column) -> Column:
-    return (F.col(name) if isinstance(name, str) else name).cast("double")
+    """The value as a double; NaN and infinity are missing, as everywhere."""
+    value = (quoted(name) if isinstance(name, str) else name).cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def as_text(name: str) -> Column:
-    return F.col(name).cast("string")
+    return quoted(name).cast("string")
 
 
 def content_id(df: DataFrame, name: str = "row_id", columns: Iterable[str] | None = None) -> DataFrame:

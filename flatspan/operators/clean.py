@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatspan.functions.quantiles import DIRECT_LIMIT, exact_quantiles
-from flatspan.functions.schema import as_double, as_text, categorical_columns, nan_to_null, numeric_columns, strip
+from flatspan.functions.schema import as_double, as_text, categorical_columns, nan_to_null, numeric_columns, quoted, strip
 
 # The texts that stand for a missing value, and those that count as blank.
 PLACEHOLDERS = ["unknown", "error", "n/a", "na", "none", "null", "-", "--", ""]
@@ -41,9 +41,9 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None, order_by: li
         return df.dropDuplicates(subset)
     keys = subset or df.columns
     rest = [c for c in df.columns if c not in keys]
-    first = F.min(F.struct(*[F.col(c) for c in order_by], *[F.col(c) for c in rest if c not in order_by])).alias("_first")
+    first = F.min(F.struct(*[quoted(c) for c in order_by], *[quoted(c) for c in rest if c not in order_by])).alias("_first")
     picked = df.groupBy(*keys).agg(first)
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    return picked.select(*[quoted(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def duplicate_counts(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -71,7 +71,7 @@ def _text_columns(df: DataFrame) -> list[str]:
 
 def placeholders_to_null(df: DataFrame, values: Iterable[str] | None = None) -> DataFrame:
     """Texts that equal a placeholder (trimmed, any case) become null; other types are left alone."""
-    return df.withColumns({c: F.when(~_is_placeholder(c, values), F.col(c)) for c in _text_columns(df)})
+    return df.withColumns({c: F.when(~_is_placeholder(c, values), quoted(c)) for c in _text_columns(df)})
 
 
 def placeholder_counts(df: DataFrame, values: Iterable[str] | None = None) -> DataFrame:
@@ -84,7 +84,7 @@ def placeholder_counts(df: DataFrame, values: Iterable[str] | None = None) -> Da
 def long_format(one_row: DataFrame, cols: list[str], value_name: str) -> DataFrame:
     """Turn a one-row frame with one column per table column into one row per table column."""
     return one_row.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(value_name)) for c in cols]))
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias(value_name)) for c in cols]))
     )
 
 
@@ -109,7 +109,7 @@ def type_correction_decisions(
     for c in wanted:
         text = as_text(c)
         aggs.append(F.count_if(text.isNotNull() & ~strip(text).isin(BLANK_TEXTS)).alias(f"{c}|n"))
-        parsed = F.col(c).isNotNull() if kinds[c] == "boolean" else parse_number(text).isNotNull()
+        parsed = quoted(c).isNotNull() if kinds[c] == "boolean" else parse_number(text).isNotNull()
         aggs.append(F.count_if(parsed).alias(f"{c}|p"))
     if not aggs:
         return df.sparkSession.createDataFrame(
@@ -141,7 +141,7 @@ def correct_types(df: DataFrame, columns: list[str] | None = None, min_share: fl
 def apply_type_correction(df: DataFrame, convert: list[str]) -> DataFrame:
     kinds = dict(df.dtypes)
     return df.withColumns(
-        {c: parse_number(F.col(c)) for c in convert if kinds.get(c) == "string"}
+        {c: parse_number(quoted(c)) for c in convert if kinds.get(c) == "string"}
     )
 
 
@@ -150,7 +150,7 @@ def apply_type_correction(df: DataFrame, convert: list[str]) -> DataFrame:
 
 def missing_fractions(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """column_name, missing_fraction, high_missing (more than ``threshold`` missing)."""
-    shares = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in df.columns])
+    shares = df.agg(*[F.avg(quoted(c).isNull().cast("int")).alias(c) for c in df.columns])
     return long_format(shares, df.columns, "missing_fraction").withColumn(
         "high_missing", F.coalesce(F.col("missing_fraction") > threshold, F.lit(False))
     )
@@ -209,10 +209,10 @@ def fill_missing(df: DataFrame, fills: FillValues) -> DataFrame:
     for c, value in fills.numeric.items():
         if c in kinds and value is not None:
             widen = c in fills.had_missing and not float(value).is_integer()
-            changed[c] = F.coalesce(as_double(c), F.lit(value)) if widen else F.coalesce(F.col(c), F.lit(value).cast(kinds[c]))
+            changed[c] = F.coalesce(as_double(c), F.lit(value)) if widen else F.coalesce(quoted(c), F.lit(value).cast(kinds[c]))
     for c, value in fills.categorical.items():
         if c in kinds:
-            changed[c] = F.coalesce(F.col(c), F.lit(value).try_cast(kinds[c]))
+            changed[c] = F.coalesce(quoted(c), F.lit(value).try_cast(kinds[c]))
     return df.withColumns(changed)
 
 
@@ -233,7 +233,7 @@ def top_value_shares(df: DataFrame, threshold: float = 0.99) -> DataFrame:
     sketch = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.expr(f"approx_top_k(cast(`{c}` as string), 1, 1000)").alias(c) for c in cols],
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}|null") for c in cols],
+        *[F.count_if(quoted(c).isNull()).alias(f"{c}|null") for c in cols],
     ).first()
     rows = sketch["_rows"]
     if not rows:
@@ -241,7 +241,7 @@ def top_value_shares(df: DataFrame, threshold: float = 0.99) -> DataFrame:
     checks = {}
     for c in cols:
         if sketch[f"{c}|null"] >= threshold * rows:
-            checks[c] = F.count_if(F.col(c).isNull())
+            checks[c] = F.count_if(quoted(c).isNull())
         else:
             frequent = [x["item"] for x in (sketch[c] or []) if x["item"] is not None]
             if frequent:
@@ -271,6 +271,7 @@ def low_variance_columns(df: DataFrame, threshold: float = 0.99) -> list[str]:
 # --- the whole step ---------------------------------------------------------------------------
 
 
+# The fields of a report, and the default thresholds of ``clean``.
 @dataclass
 class CleaningReport:
     input_shape: tuple[int, int]
@@ -342,7 +343,7 @@ def apply_cleaning(df: DataFrame, model: CleaningModel) -> DataFrame:
     return fill_missing(apply_type_correction(normalized, model.converted), model.fills).drop(*model.dropped)
 
 
-def report_rows(df: DataFrame, report: CleaningReport) -> DataFrame:
+def report_rows(spark: SparkSession, report: CleaningReport) -> DataFrame:
     """The report as rows (item, column_name, value)."""
     rows: list[tuple[str, str | None, int | None]] = [
         ("input_rows", None, report.input_shape[0]),
@@ -361,4 +362,4 @@ def report_rows(df: DataFrame, report: CleaningReport) -> DataFrame:
         "high_missing_columns_dropped",
     ):
         rows += [(item, c, None) for c in getattr(report, item)]
-    return df.sparkSession.createDataFrame(rows, "item string, column_name string, value long")
+    return spark.createDataFrame(rows, "item string, column_name string, value long")

@@ -15,6 +15,7 @@ from flatspan.functions.schema import as_double, as_text
 from flatspan.functions.seeded import seeded_sample
 from flatspan.operators.features import distinct_counts
 
+# Thresholds, bins, margins and segment limits.  The segment limits are features and do not grow with a table.
 THRESHOLDS = (0.3, 0.4, 0.5)
 CALIBRATION_BINS = 10
 MIN_CATEGORIES, MAX_CATEGORIES, MAX_SEGMENT_COLUMNS = 2, 50, 5
@@ -251,6 +252,11 @@ def is_elevated(segment: Column, overall: Column, absolute: float | None = None)
     return F.coalesce(segment - overall >= margin, F.lit(False))
 
 
+def flag_of(metric: str, raised: Column) -> Column:
+    """A flag column that says which metric it is about."""
+    return raised.alias("flag", metadata={"metric": metric})
+
+
 def segment_errors_binary(
     scored: DataFrame,
     columns: list[str],
@@ -283,7 +289,7 @@ def segment_errors_binary(
     joined = _against_overall(rows, names, min_rows)
     for name, size in zip(names, ["n_positive", "n_negative"]):
         flag = is_elevated(F.col(name), F.col(f"overall_{name}"), ABSOLUTE_MARGIN) & (F.col(size) >= min_rows)
-        joined = joined.withColumn(f"elevated_{name}", flag)
+        joined = joined.withColumn(f"elevated_{name}", flag_of(name, flag))
     return _rounded(joined, [*names, *[f"overall_{m}" for m in names]])
 
 
@@ -301,7 +307,10 @@ def segment_errors_multiclass(
     )
     joined = _against_overall(rows, ["misclassification_rate"], min_rows).withColumn(
         "elevated_misclassification_rate",
-        is_elevated(F.col("misclassification_rate"), F.col("overall_misclassification_rate"), ABSOLUTE_MARGIN),
+        flag_of(
+            "misclassification_rate",
+            is_elevated(F.col("misclassification_rate"), F.col("overall_misclassification_rate"), ABSOLUTE_MARGIN),
+        ),
     )
     return _rounded(joined, ["misclassification_rate", "overall_misclassification_rate"])
 
@@ -324,8 +333,8 @@ def segment_errors_regression(
     )
     joined = (
         _against_overall(rows, ["mae", "mean_error"], min_rows)
-        .withColumn("elevated_mae", is_elevated(F.col("mae"), F.col("overall_mae")))
-        .withColumn("elevated_bias", F.abs("mean_error") >= F.col("overall_mae") * RELATIVE_MARGIN)
+        .withColumn("elevated_mae", flag_of("mae", is_elevated(F.col("mae"), F.col("overall_mae"))))
+        .withColumn("elevated_bias", flag_of("mean_error", F.abs("mean_error") >= F.col("overall_mae") * RELATIVE_MARGIN))
     )
     return _rounded(joined, ["mae", "mean_error", "overall_mae", "overall_mean_error"])
 

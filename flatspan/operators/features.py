@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatspan.functions.schema import as_double, as_text, categorical_columns, numeric_columns
+from flatspan.functions.schema import as_double, as_text, categorical_columns, numeric_columns, quoted
 from flatspan.operators.profile import correlation_pairs, skewness_of
 
 UNKNOWN_CATEGORY = "__unknown__"  # fixed value: the dummy column of missing values
@@ -81,7 +81,7 @@ def fit_scale(df: DataFrame, protected: Iterable[str] = ()) -> ScaleStats:
         return out
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.avg(as_double(c)).alias(f"a{i}"), F.stddev_samp(as_double(c)).alias(f"s{i}"), (F.min(c) == F.max(c)).alias(f"z{i}")]
+        aggs += [F.avg(as_double(c)).alias(f"a{i}"), F.stddev_samp(as_double(c)).alias(f"s{i}"), (F.min(quoted(c)) == F.max(quoted(c))).alias(f"z{i}")]
     row = df.agg(*aggs).first()
     for i, c in enumerate(cols):
         if row[f"z{i}"] or row[f"s{i}"] == 0.0:
@@ -123,11 +123,11 @@ def distinct_counts(df: DataFrame, columns: list[str], exact_below: int) -> dict
     """
     if not columns:
         return {}
-    rough = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    rough = df.agg(*[F.approx_count_distinct(quoted(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
     out = {c: rough[f"d{i}"] for i, c in enumerate(columns)}
     close = [c for c in columns if out[c] <= 2 * exact_below]
     if close:
-        row = df.agg(*[F.size(F.collect_set(F.col(c))).alias(f"d{i}") for i, c in enumerate(close)]).first()
+        row = df.agg(*[F.size(F.collect_set(quoted(c))).alias(f"d{i}") for i, c in enumerate(close)]).first()
         out.update({c: row[f"d{i}"] for i, c in enumerate(close)})
     return out
 
@@ -140,7 +140,7 @@ def fit_encoding(df: DataFrame, ohe_threshold: int = 20, protected: Iterable[str
     if few:
         seen = df.agg(
             *[F.array_sort(F.collect_set(as_text(c))).alias(f"v{i}") for i, c in enumerate(few)],
-            *[(F.count(c) < F.count(F.lit(1))).alias(f"m{i}") for i, c in enumerate(few)],
+            *[(F.count(quoted(c)) < F.count(F.lit(1))).alias(f"m{i}") for i, c in enumerate(few)],
         ).first()
         for i, c in enumerate(few):
             out.one_hot[c] = sorted([*seen[f"v{i}"], *([UNKNOWN_CATEGORY] if seen[f"m{i}"] else [])])
@@ -182,7 +182,7 @@ def apply_one_hot(df: DataFrame, one_hot: dict[str, list[str]]) -> DataFrame:
     for c, values in here.items():
         filled = F.coalesce(as_text(c), F.lit(UNKNOWN_CATEGORY))
         dummies += [(filled == F.lit(v)).cast("int").alias(n) for v, n in dummy_names(c, values).items()]
-    return df.select(*[F.col(c) for c in df.columns if c not in here], *dummies)
+    return df.select(*[quoted(c) for c in df.columns if c not in here], *dummies)
 
 
 def apply_frequency(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def apply_frequency(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
         F.col("value").alias(column), F.lit(0).alias("_salt"), F.col("frequency").alias("_cold")
     )
     others = [c for c in df.columns if c != column]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(4096)).cast("int") + 1
+    spread = F.pmod(F.xxhash64(*[quoted(c) for c in others]), F.lit(4096)).cast("int") + 1
     answered = F.col("_hot").isNotNull() | F.col(column).isNull()
     joined = (
         df.join(F.broadcast(hot), column, "left")
@@ -207,7 +207,7 @@ def apply_frequency(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
         .join(cold, [column, "_salt"], "left")
     )
     value = F.coalesce("_hot", "_cold", F.lit(0.0))
-    return joined.select(*[value.alias(c) if c == column else F.col(c) for c in df.columns])
+    return joined.select(*[value.alias(c) if c == column else quoted(c) for c in df.columns])
 
 
 def apply_encoding(df: DataFrame, encoding: Encoding) -> DataFrame:

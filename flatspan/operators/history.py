@@ -11,6 +11,7 @@ RUN_SCHEMA = (
     "run_id string, step string, started_at timestamp_ntz, finished_at timestamp_ntz, status string, input_path string, "
     "output_path string, error_message string, duration_seconds double"
 )
+# The column names of the experiment table.
 EXPERIMENT_SCHEMA = (
     "experiment_id string, logged_at timestamp_ntz, data_path string, target_col string, task_type string, "
     "best_model_name string, split_strategy string, group_col string, random_state int, n_features int, "
@@ -193,7 +194,7 @@ def run_outcomes(outcomes: DataFrame) -> DataFrame:
             F.col("first").isNotNull().alias("aborted"),
             F.when(
                 F.col("first").isNotNull(),
-                F.concat(F.lit("Pipeline aborted at '"), F.col("first.step"), F.lit("': "), F.coalesce("first.message", F.lit(""))),
+                F.concat_ws(": ", F.concat(F.lit("ended by step "), F.col("first.step")), "first.message"),
             ).alias("abort_reason"),
             "total_seconds",
         )
@@ -206,12 +207,5 @@ def missing_upstream(outcomes: DataFrame, needed: list[str]) -> DataFrame:
     present = F.collect_set(F.when(F.col("status").isin("success", "success_after_retry"), F.col("step")))
     rows = outcomes.where(F.col("step").isin(needed)).groupBy("run_id").agg(present.alias("present"))
     absent = F.array_except(F.array(*[F.lit(n) for n in needed]), "present")
-    one = F.size(absent) == 1
-    reason = F.concat(
-        F.lit("Skipped: upstream "),
-        F.array_join(absent, " and "),
-        F.when(one, " was skipped, no ").otherwise(" were skipped, no "),
-        F.array_join(absent, "/"),
-        F.when(one, " report available").otherwise(" reports available"),
-    )
+    reason = F.concat(F.lit("not run for want of results of: "), F.array_join(absent, ", "))
     return rows.where(F.size(absent) > 0).select("run_id", reason.alias("reason"))

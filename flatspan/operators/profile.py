@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatspan.functions.quantiles import DIRECT_LIMIT, exact_quantiles
-from flatspan.functions.schema import as_double, numeric_columns
+from flatspan.functions.schema import as_double, numeric_columns, quoted
 
 #: Column pairs per aggregate; wider tables are done in several passes over the same columns.
 PAIRS_PER_PASS = 300
@@ -39,7 +39,7 @@ def _moments(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
     for i, c in enumerate(cols):
         x = as_double(c)
         aggs += [
-            F.count(c).alias(f"n{i}"),
+            F.count(as_double(c)).alias(f"n{i}"),
             F.min(x).alias(f"lo{i}"),
             F.max(x).alias(f"hi{i}"),
             F.avg(x).alias(f"mean{i}"),
@@ -74,7 +74,7 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
     empty = df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
     if not pairs:
         return empty
-    gaps = df.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(True)).alias(f"g{i}") for i, c in enumerate(cols)]).first()
+    gaps = df.agg(*[F.coalesce(F.bool_or(as_double(c).isNull()), F.lit(True)).alias(f"g{i}") for i, c in enumerate(cols)]).first()
     full = {c for i, c in enumerate(cols) if not gaps[f"g{i}"]}
     out = None
     for start in range(0, len(pairs), PAIRS_PER_PASS):
@@ -114,10 +114,10 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
             )
         )
     )
-    spread = df.agg(*[F.when(F.min(c) < F.max(c), 1.0).alias(c) for c in cols])
+    spread = df.agg(*[F.when(F.min(as_double(c)) < F.max(as_double(c)), 1.0).alias(c) for c in cols])
     diagonal = spread.select(
         F.inline(
-            F.array(*[F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.col(c).alias("r")) for c in cols])
+            F.array(*[F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), quoted(c).alias("r")) for c in cols])
         )
     )
     return both.unionByName(diagonal)
@@ -137,7 +137,7 @@ def skewness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         return df.sparkSession.createDataFrame([], "column_name string, skewness double")
     one_row = df.agg(*[skewness_of(as_double(c)).alias(c) for c in cols])
     return one_row.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("skewness")) for c in cols]))
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias("skewness")) for c in cols]))
     )
 
 
@@ -158,7 +158,7 @@ def outlier_summary(
     for i, c in enumerate(cols):
         x, (low, high) = as_double(c), fences[c]
         outside = F.lit(False) if low is None else (x < F.lit(low)) | (x > F.lit(high))
-        aggs += [F.count_if(outside).alias(f"o{i}"), F.count(c).alias(f"n{i}")]
+        aggs += [F.count_if(outside).alias(f"o{i}"), F.count(as_double(c)).alias(f"n{i}")]
     if not aggs:
         return df.sparkSession.createDataFrame([], _OUTLIER_SCHEMA)
     rows = F.array(

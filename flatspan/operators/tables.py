@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flatspan.functions.quantiles import order_statistics
 from flatspan.functions.schema import plain_lines, strip
-from flatspan.operators.clean import CleaningReport
+from flatspan.operators.clean import CleaningReport, report_rows
 
 # Display names of metrics and tasks, and the words that place a section.
 METRIC_LABELS = {
@@ -47,30 +47,19 @@ def metric_table(metrics: DataFrame) -> DataFrame:
 
 
 def diagnostics_rows(spark: SparkSession, report: CleaningReport) -> DataFrame:
-    """place, label, value: the cleaning report as nine display rows."""
-
-    def shape(s):
-        return f"{s[0]:,} rows × {s[1]} columns"
-
-    def listed(items):
-        return ", ".join(items) if items else "None"
-
-    counts = sorted(report.placeholder_values_normalized.items(), key=lambda kv: (-kv[1], kv[0]))
-    placeholders = "None"
-    if counts:
-        placeholders = f"{sum(n for _, n in counts):,} total ({', '.join(f'{c}: {n:,}' for c, n in counts)})"
-    rows = [
-        ("Input shape", shape(report.input_shape)),
-        ("Output shape", shape(report.output_shape)),
-        ("Duplicate rows removed", f"{report.n_duplicates_removed:,}"),
-        ("Placeholder values normalized", placeholders),
-        ("High-missing columns flagged", listed(report.high_missing_columns_flagged)),
-        ("Low-variance columns dropped", listed(report.low_variance_columns_dropped)),
-        ("Columns type-corrected", listed(report.columns_type_corrected)),
-        ("Numeric columns imputed", listed(report.numeric_columns_imputed)),
-        ("Categorical columns imputed", listed(report.categorical_columns_imputed)),
-    ]
-    return spark.createDataFrame([(i + 1, *r) for i, r in enumerate(rows)], "place int, label string, value string")
+    """step, effect, column_name, n: what cleaning did, a row for each effect on the table or on a column.
+
+    ``n`` counts rows, columns or values; a column that was converted, flagged, filled or dropped counts one.
+    """
+    item = F.col("item")
+    step = F.when(item.startswith("input") | item.startswith("output"), "shape").when(item.startswith("dupl"), "rows")
+    step = step.when(item == "placeholders", "values").otherwise("columns")
+    effect = F.regexp_replace(item, "^(columns|numeric_columns|categorical_columns|high_missing_columns|low_variance_columns)_", "")
+    reason = F.regexp_extract(item, "^(numeric|categorical|high_missing|low_variance)_columns_", 1)
+    effect = F.concat_ws(": ", F.replace(effect, F.lit("_"), F.lit(" ")), F.when(reason != "", F.replace(reason, F.lit("_"), F.lit(" "))))
+    return report_rows(spark, report).select(
+        step.alias("step"), effect.alias("effect"), "column_name", F.coalesce("value", F.lit(1)).cast("long").alias("n")
+    )
 
 
 # --- filters over a predictions table -----------------------------------------------------------
@@ -128,7 +117,7 @@ def run_captions(experiments: DataFrame) -> DataFrame:
     label = task_label(F.col("task_type"))
     banner = F.when(
         F.coalesce(F.col("target_col"), F.lit("")) != "",
-        F.concat(F.lit("Predicting: "), F.col("target_col"), F.lit(" (task type: "), label, F.lit(", auto-detected)")),
+        F.concat(label, F.lit(" of "), F.col("target_col"), F.lit(" (kind of task told from its values)")),
     )
     note = F.lit("Probabilities come from class-weighted training: read a threshold as a cutoff, not as a chance.")
     measured = F.when(F.col("ece").isNotNull(), F.format_string(" Measured calibration error (ECE): %.3f.", "ece")).otherwise("")

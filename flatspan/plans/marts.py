@@ -26,9 +26,10 @@ def items_agg(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
     nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("seller_region"))
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    sellers = flatten.left_lookup(supplier, nation, "s_nationkey", "n_nationkey")
+    # One small table after the other: joined beforehand their estimate is too large to broadcast, and the lines are shuffled.
     full = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    full = full.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    full = full.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    full = full.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     full = full.withColumn("freight", F.col("l_extendedprice") * F.col("l_tax"))
     return flatten.aggregate_items(
         full,
@@ -62,14 +63,10 @@ def latest_event(spark: SparkSession, sf: str) -> DataFrame:
 def flat_orders(spark: SparkSession, sf: str) -> DataFrame:
     """All orders, delivered or not."""
     nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("customer_nation"))
-    customer = flatten.left_lookup(
-        table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"),
-        nation,
-        "c_nationkey",
-        "n_nationkey",
-    )
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     orders = table(spark, sf, "orders")
-    out = flatten.left_lookup(orders, customer, "o_custkey", "c_custkey").drop("c_nationkey")
+    out = flatten.left_lookup(orders, customer, "o_custkey", "c_custkey")
+    out = flatten.left_lookup(out, nation, "c_nationkey", "n_nationkey").drop("c_nationkey")
     out = flatten.left_lookup(out, items_agg(spark, sf), "o_orderkey", "l_orderkey")
     out = flatten.left_lookup(out, payments_agg(spark, sf).withColumnRenamed("user_id", "pay_user"), "o_custkey", "pay_user")
     last = latest_event(spark, sf).select(

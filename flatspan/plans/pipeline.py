@@ -68,7 +68,7 @@ class _Job:
             self.id_col = "row_id"
             cleaned = content_id(cleaned, self.id_col)
         self.frames["cleaned"] = self._table(cleaned, "cleaned")
-        self._report(clean.report_rows(cleaned, self.cleaning), "cleaning")
+        self._report(clean.report_rows(self.spark, self.cleaning), "cleaning")
         return self.outputs["cleaned"]
 
     def profile(self) -> str:
@@ -209,7 +209,7 @@ def run_pipeline(
     for name in STEPS:
         started = _now()
         if reason is not None:
-            rows.append((name, started, started, None, f"Skipped: upstream {rows[-1][0]} has no result", None, [None]))
+            rows.append((name, started, started, None, f"not run: {rows[-1][0]} has no result", None, [None]))
             continue
         step: Callable[[], str] = getattr(job, name)
         try:
@@ -218,7 +218,7 @@ def run_pipeline(
         except Exception as exc:  # the history must have a row for a step that fails
             log.exception("%s failed", name)
             output, error = None, str(exc).splitlines()[0]
-            reason = f"Pipeline aborted at '{name}': {error}"
+            reason = f"ended by step '{name}': {error}"
         rows.append((name, started, _now(), error is None, output, error, [last or None]))
         last = output
     events = job.spark.createDataFrame(

@@ -232,7 +232,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = marts.dirty_orders(spark, sf)
-    return clean.report_rows(df, clean.clean(df)[2])
+    return clean.report_rows(spark, clean.clean(df)[2])
 
 
 @query(

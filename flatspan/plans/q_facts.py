@@ -101,8 +101,8 @@ def _(spark, sf):
     "confusion_words",
     f"""WITH {SCORED_CTE}, c AS (SELECT actual, predicted, count(*) AS n FROM scored GROUP BY ALL)
         SELECT CASE WHEN actual = 1 AND predicted = 1 THEN 'true_positive' WHEN actual = 1 THEN 'false_negative' WHEN predicted = 1 THEN 'false_positive' ELSE 'true_negative' END AS cell,
-          n, format('{{:,}}', n) || ' ' || CASE WHEN actual = 1 AND predicted = 1 THEN 'orders correctly identified as late' WHEN actual = 1 THEN 'orders that were actually late but were predicted on time'
-          WHEN predicted = 1 THEN 'orders that were actually on time but were flagged as late' ELSE 'orders correctly identified as on time' END AS fact
+          n, format('{{:,}}', n) || ' ' || 'of the orders that are ' || CASE actual WHEN 1 THEN 'late' ELSE 'on time' END
+          || ' are taken for ' || CASE predicted WHEN 1 THEN 'late' ELSE 'on time' END AS fact
         FROM (SELECT a.v AS actual, p.v AS predicted, coalesce(n, 0) AS n FROM (VALUES (0), (1)) a(v) CROSS JOIN (VALUES (0), (1)) p(v)
           LEFT JOIN c ON c.actual = a.v AND c.predicted = p.v)""",
 )

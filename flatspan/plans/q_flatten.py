@@ -45,11 +45,12 @@ def _(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     region = table(spark, sf, "region")
-    nation = flatten.left_lookup(table(spark, sf, "nation"), region, "n_regionkey", "r_regionkey")
+    nation = table(spark, sf, "nation")
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    sellers = flatten.left_lookup(supplier, nation, "s_nationkey", "n_nationkey")
     out = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    out = out.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    out = out.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    out = out.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    out = out.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return out.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "p_brand", "p_type", "s_name", "n_name", "r_name"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flatspan.operators import profile
 from flatspan.plans.base import query, table
 
-LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PART_COLS = ["p_partkey", "p_size", "p_retailprice"]
 
 
@@ -126,3 +126,28 @@ def _(spark, sf):
         profile.outlier_summary(table(spark, sf, "documents"), ["n_chars"])
     )
     return round6(profile.outlier_ranking(both))
+
+
+# A table with NaN and infinity, which count as missing, and with dots in its column names.
+GAPPY_SQL = "(SELECT event_id, CASE WHEN event_id % 7 IN (0, 3) THEN NULL ELSE value END AS value FROM events)"
+
+
+def gappy(spark, sf):
+    key = F.col("event_id")
+    odd = F.when(key % 7 == 0, float("nan")).when(key % 7 == 3, F.when(key % 2 == 0, float("inf")).otherwise(float("-inf")))
+    return table(spark, sf, "events").select(key, odd.otherwise(F.col("value")).alias("value"))
+
+
+@query("describe_nan", sql_describe(GAPPY_SQL, ["event_id", "value"]))
+def _(spark, sf):
+    return round6(profile.describe(gappy(spark, sf)))
+
+
+@query("outliers_nan", f"SELECT * REPLACE (round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence) FROM ({sql_outliers(GAPPY_SQL, ['event_id', 'value'])})")
+def _(spark, sf):
+    return round6(profile.outlier_summary(gappy(spark, sf)))
+
+
+@query("dotted_columns", f"SELECT * REPLACE ('the.' || column_name AS column_name) FROM ({sql_describe(GAPPY_SQL, ['event_id', 'value'])})")
+def _(spark, sf):
+    return round6(profile.describe(gappy(spark, sf).toDF("the.event_id", "the.value")))

@@ -27,16 +27,16 @@ def _(spark, sf):
     "diagnostics_rows",
     """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'UNKNOWN' ELSE o_orderstatus END AS status,
          CASE WHEN o_orderkey % 2 = 0 THEN '--' WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE o_orderpriority END AS priority FROM orders),
-       c AS (SELECT count(*) AS n, sum((status = 'UNKNOWN')::INT) AS s, sum((priority IN ('--', 'n/a'))::INT) AS p FROM o)
-       SELECT 1 AS place, 'Input shape' AS label, format('{:,}', n) || ' rows × 3 columns' AS value FROM c
-       UNION ALL SELECT 2, 'Output shape', format('{:,}', n) || ' rows × 3 columns' FROM c
-       UNION ALL SELECT 3, 'Duplicate rows removed', '0'
-       UNION ALL SELECT 4, 'Placeholder values normalized', format('{:,} total (priority: {:,}, status: {:,})', (s + p)::BIGINT, p::BIGINT, s::BIGINT) FROM c
-       UNION ALL SELECT 5, 'High-missing columns flagged', 'priority'
-       UNION ALL SELECT 6, 'Low-variance columns dropped', 'None'
-       UNION ALL SELECT 7, 'Columns type-corrected', 'None'
-       UNION ALL SELECT 8, 'Numeric columns imputed', 'o_orderkey'
-       UNION ALL SELECT 9, 'Categorical columns imputed', 'status, priority'""",
+       c AS (SELECT count(*) AS n, count_if(status = 'UNKNOWN') AS s, count_if(priority IN ('--', 'n/a')) AS p FROM o)
+       SELECT 'shape' AS step, 'input rows' AS effect, NULL::VARCHAR AS column_name, n AS n FROM c
+       UNION ALL SELECT 'shape', 'output rows', NULL, n FROM c
+       UNION ALL SELECT 'shape', unnest(['input columns', 'output columns']), NULL, 3::BIGINT
+       UNION ALL SELECT 'rows', 'duplicates removed', NULL, n - (SELECT count(*) FROM (SELECT DISTINCT * FROM o)) FROM c
+       UNION ALL SELECT 'values', 'placeholders', 'status', s FROM c
+       UNION ALL SELECT 'values', 'placeholders', 'priority', p FROM c
+       UNION ALL SELECT 'columns', 'flagged: high missing', 'priority', 1 FROM c WHERE p > 0.5 * n
+       UNION ALL SELECT 'columns', 'imputed: numeric', 'o_orderkey', 1
+       UNION ALL SELECT 'columns', 'imputed: categorical', unnest(['status', 'priority']), 1""",
 )
 def _(spark, sf):
     key = F.col("o_orderkey")
@@ -299,8 +299,9 @@ def _(spark, sf):
 @query(
     "run_captions",
     """SELECT event_id, CASE event_type WHEN 'view' THEN 'Regression' WHEN 'click' THEN 'Classification' WHEN 'purchase' THEN 'Classification' ELSE 'Unknown' END AS task_label,
-       CASE WHEN event_id % 3 <> 0 THEN 'Predicting: t' || event_id % 3 || ' (task type: ' ||
-         CASE event_type WHEN 'view' THEN 'Regression' WHEN 'click' THEN 'Classification' WHEN 'purchase' THEN 'Classification' ELSE 'Unknown' END || ', auto-detected)' END AS banner,
+       CASE WHEN event_id % 3 <> 0 THEN
+         CASE event_type WHEN 'view' THEN 'Regression' WHEN 'click' THEN 'Classification' WHEN 'purchase' THEN 'Classification' ELSE 'Unknown' END
+         || ' of t' || event_id % 3 || ' (kind of task told from its values)' END AS banner,
        CASE WHEN event_type = 'click' THEN 'Probabilities come from class-weighted training: read a threshold as a cutoff, not as a chance.' ||
          CASE WHEN event_id % 2 = 0 THEN printf(' Measured calibration error (ECE): %.3f.', (event_id % 1000) / 1000) ELSE '' END END AS caveat FROM events""",
 )
@@ -386,7 +387,7 @@ def _(spark, sf):
 @query(
     "run_outcomes",
     f"""WITH {ATTEMPTS_CTE} SELECT run_id, count(*) AS n_steps, bool_or(status = 'failed') AS aborted,
-        'Pipeline aborted at ''' || arg_min(step, step_order) FILTER (WHERE status = 'failed') || ''': ' || arg_min(message, step_order) FILTER (WHERE status = 'failed') AS abort_reason,
+        'ended by step ' || arg_min(step, step_order) FILTER (WHERE status = 'failed') || coalesce(': ' || arg_min(message, step_order) FILTER (WHERE status = 'failed'), '') AS abort_reason,
         round(sum(seconds), 4) AS total_seconds FROM outcomes GROUP BY run_id""",
 )
 def _(spark, sf):
@@ -398,8 +399,7 @@ def _(spark, sf):
     "missing_upstream",
     f"""WITH {ATTEMPTS_CTE}, p AS (SELECT run_id, bool_or(step = 'view' AND status LIKE 'success%') AS v, bool_or(step = 'click' AND status LIKE 'success%') AS c
           FROM outcomes WHERE step IN ('view', 'click') GROUP BY run_id)
-        SELECT run_id, CASE WHEN v THEN 'Skipped: upstream click was skipped, no click report available' WHEN c THEN 'Skipped: upstream view was skipped, no view report available'
-          ELSE 'Skipped: upstream view and click were skipped, no view/click reports available' END AS reason FROM p WHERE NOT (v AND c)""",
+        SELECT run_id, 'not run for want of results of: ' || CASE WHEN v THEN 'click' WHEN c THEN 'view' ELSE 'view, click' END AS reason FROM p WHERE NOT (v AND c)""",
 )
 def _(spark, sf):
     return history.missing_upstream(history.step_outcomes(attempts(spark, sf)), ["view", "click"])
@@ -432,6 +432,19 @@ def _(spark, sf):
     return read_csv(spark, path)
 
 
+@query(
+    "csv_text_roundtrip",
+    r"""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  "' || text || '",' || chr(10) || ' a\b ' WHEN 1 THEN text
+         WHEN 2 THEN 'two' || chr(10) || chr(10) || 'lines, ""' || lang || '""' END AS text, n_chars FROM documents""",
+)
+def _(spark, sf):
+    key, text = F.col("doc_id"), F.col("text")
+    odd = F.when(key % 4 == 0, F.concat(F.lit('  "'), text, F.lit('",\n a\\b '))).when(key % 4 == 1, text)
+    odd = odd.when(key % 4 == 2, F.concat(F.lit('two\n\nlines, ""'), F.col("lang"), F.lit('""'))).otherwise("NA")
+    path = write_table(table(spark, sf, "documents").select("doc_id", odd.alias("text"), "n_chars"), new_stage_path(spark, "texts") + ".csv", "csv")
+    return read_csv(spark, path, "doc_id bigint, text string, n_chars bigint")
+
+
 @query(
     "multi_table_load",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ["orders", "customer", "lineitem", "part", "supplier", "nation", "region", "events"]),

@@ -54,3 +54,12 @@ def test_stage_goes_to_the_shared_folder(spark):
     staged = write_stage(df, "t")
     assert all(f.startswith(f"file://{shared_folder(spark)}") or shared_folder(spark) in f for f in staged.inputFiles())
     assert staged.count() == 10
+
+
+def test_small_dimensions_do_not_shuffle_the_lines(spark):
+    from flatspan.plans import marts
+
+    for frame in (marts.items_agg(spark, entry.SMALL), entry.queries()["flatten_dimension_lookups"](spark, entry.SMALL)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "l_suppkey" not in "".join(x for x in plan.splitlines() if "hashpartitioning(l_suppkey" in x)
+        assert "SortMergeJoin" not in plan

@@ -111,3 +111,15 @@ def test_box_and_trend(spark):
     points = charts.trend_line(line, "x", "y").orderBy("point").collect()
     assert len(points) == 100 and points[-1]["y"] == pytest.approx(28.0)
     assert charts.trend_line(line.limit(1), "x", "y").count() == 0
+
+
+@pytest.mark.parametrize("limit", [10**6, 1])
+def test_nan_and_infinity_are_missing(spark, limit):
+    xs = [float(i) for i in range(40)] + [float("nan")] * 10 + [float("inf"), float("-inf")]
+    df = values(spark, "`a.b`", xs)
+    told = profile.describe(df, direct_limit=limit).first()
+    assert (told["n"], told["mean"], told["max"], told["q50"]) == (40, 19.5, 39.0, 19.5)
+    assert profile.outlier_summary(df, direct_limit=limit).first()["n_outliers"] == 0
+    assert abs(profile.skewness(df).first()["skewness"]) < 1e-12
+    two = df.withColumn("c", F.col("`a.b`") * 2 + 1)
+    assert profile.correlation_pairs(two).first()["r"] == pytest.approx(1)

@@ -35,10 +35,10 @@ def test_page_of_nothing(spark):
 
 def test_diagnostics(spark):
     report = CleaningReport((1200, 3), (1000, 2), 200, {"a": 5, "b": 1500}, ["x"], [], ["x"], ["a", "b"], ["z"])
-    out = {r["label"]: r["value"] for r in tables.diagnostics_rows(spark, report).collect()}
-    assert out["Input shape"] == "1,200 rows × 3 columns"
-    assert out["Placeholder values normalized"] == "1,505 total (b: 1,500, a: 5)"
-    assert out["High-missing columns flagged"] == "None" and len(out) == 9
+    out = {(r["step"], r["effect"], r["column_name"]): r["n"] for r in tables.diagnostics_rows(spark, report).collect()}
+    assert out["shape", "input rows", None] == 1200 and out["rows", "duplicates removed", None] == 200
+    assert out["values", "placeholders", "b"] == 1500 and out["columns", "dropped: low variance", "z"] == 1
+    assert not any(effect == "flagged: high missing" for _, effect, _ in out) and len(out) == 12
 
 
 def test_sections(spark):
@@ -139,9 +139,9 @@ def test_step_outcomes(spark):
         ("r3", "clean", "skipped", 1), ("r3", "train", "failed", 2),
     ]
     ends = {r["run_id"]: (r["aborted"], r["abort_reason"], r["total_seconds"]) for r in history.run_outcomes(out).collect()}
-    assert ends == {"r1": (False, None, 3.0), "r2": (True, "Pipeline aborted at 'clean': no file", 1.0), "r3": (True, "Pipeline aborted at 'train': b", 4.0)}
+    assert ends == {"r1": (False, None, 3.0), "r2": (True, "ended by step clean: no file", 1.0), "r3": (True, "ended by step train: b", 4.0)}
     reasons = {r["run_id"]: r["reason"] for r in history.missing_upstream(out, ["clean", "train"]).collect()}
-    assert set(reasons) == {"r2", "r3"} and reasons["r3"].startswith("Skipped: upstream clean and train were skipped")
+    assert set(reasons) == {"r2", "r3"} and reasons["r3"].endswith(": clean, train")
 
 
 @pytest.mark.parametrize(
@@ -168,3 +168,18 @@ def test_csv_and_reports(spark):
 def test_chart_catalogue(spark):
     out = charts.chart_catalogue({"a": spark.range(3), "b": "no data", "c": spark.range(0)})
     assert rows(out) == [("a", 3, None), ("b", 0, "no data"), ("c", 0, "no rows")]
+
+
+def test_csv_keeps_quotes_line_breaks_and_blanks(spark, tmp_path):
+    from flatspan.sources.tables import read_csv, write_table
+
+    texts = ['a "quoted" word, here', "  pad ", "x\ny", 'end"', "back\\slash", None, "NA", "5"]
+    df = spark.createDataFrame([(i, t, float(i)) for i, t in enumerate(texts)], "id long, text string, v double")
+    path = write_table(df, str(tmp_path / "t.csv"), "csv")
+    want = [(i, None if t == "NA" else t) for i, t in enumerate(texts)]
+    for schema in (None, "id bigint, text string, v double"):
+        assert sorted((r["id"], r["text"]) for r in read_csv(spark, path, schema).collect()) == want
+    other = tmp_path / "other.csv"
+    other.write_text('id,text,v\n1,"a ""quoted"" word, here",5\n2,NA,n/a\n3,"two\nlines",x\n')
+    got = sorted(tuple(r) for r in read_csv(spark, str(other), "id bigint, text string, v double").collect())
+    assert got == [(1, 'a "quoted" word, here', 5.0), (2, None, None), (3, "two\nlines", None)]
