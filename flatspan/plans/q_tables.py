@@ -27,7 +27,7 @@ def _(spark, sf):
     "diagnostics_rows",
     """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'UNKNOWN' ELSE o_orderstatus END AS status,
          CASE WHEN o_orderkey % 2 = 0 THEN '--' WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE o_orderpriority END AS priority FROM orders),
-       c AS (SELECT count(*) AS n, count_if(status = 'UNKNOWN') AS s, count_if(priority IN ('--', 'n/a')) AS p FROM o)
+       c AS (SELECT count(*) AS n, count_if(status = 'UNKNOWN')::BIGINT AS s, count_if(priority IN ('--', 'n/a'))::BIGINT AS p FROM o)
        SELECT 'shape' AS step, 'input rows' AS effect, NULL::VARCHAR AS column_name, n AS n FROM c
        UNION ALL SELECT 'shape', 'output rows', NULL, n FROM c
        UNION ALL SELECT 'shape', unnest(['input columns', 'output columns']), NULL, 3::BIGINT
