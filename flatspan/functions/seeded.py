@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flatspan.session import write_stage
+
 #: More groups than this cannot be classes of a target; their cut-offs are not collected.
 MAX_GROUPS = 10_000
 
@@ -99,3 +101,23 @@ def seeded_sample(df: DataFrame, id_col: str, cap: int, seed: int = 42) -> DataF
     return (
         df.withColumn("_h", seeded_hash(seed, id_col)).orderBy("_h", F.col(id_col)).limit(cap).drop("_h")
     )
+
+
+def placed_rows(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
+    """All rows with ``at``, their place (from 0) in the order of the seeded hash of their id.
+
+    The rows are sorted over the cluster and numbered within their partitions, whose sizes are then summed; no task numbers
+    them all.  Equal ids are placed next to each other in any order.
+    """
+    session = df.sparkSession
+    order = [F.col("_h"), F.col(id_col)]
+    dealt = df.withColumn("_h", seeded_hash(seed, id_col)).repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    dealt = write_stage(dealt, "placed")
+    sizes = dealt.groupBy("_p").count().collect()  # one row a partition
+    starts, at = [], 0
+    for row in sorted(sizes, key=lambda r: r["_p"]):
+        starts.append((row["_p"], at))
+        at += row["count"]
+    before = F.broadcast(session.createDataFrame(starts, "_p int, _start long"))
+    within = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return dealt.withColumn("_r", within).join(before, "_p").withColumn("at", F.col("_start") + F.col("_r")).drop("_h", "_p", "_r", "_start")

@@ -21,7 +21,6 @@ CALIBRATION_BINS = 10
 MIN_CATEGORIES, MAX_CATEGORIES, MAX_SEGMENT_COLUMNS = 2, 50, 5
 MIN_SEGMENT_ROWS = 20
 RELATIVE_MARGIN, ABSOLUTE_MARGIN = 0.5, 0.10
-SAMPLE_POINTS, SAMPLE_ROWS = 2000, 5000
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -348,9 +347,9 @@ def _rounded(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def predictions_table_classification(
     scored: DataFrame, id_col: str, actual: str = "actual", predicted: str = "predicted",
-    confidence: str = "confidence", cap: int | None = SAMPLE_ROWS, seed: int = 42,
+    confidence: str = "confidence", cap: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """row_id, actual_label, predicted_label, confidence, correct; at most ``cap`` sampled rows."""
+    """row_id, actual_label, predicted_label, confidence, correct; all rows, or ``cap`` sampled ones."""
     rows = scored if cap is None else seeded_sample(scored, id_col, cap, seed)
     return rows.select(
         F.col(id_col).alias("row_id"),
@@ -363,7 +362,7 @@ def predictions_table_classification(
 
 def predictions_table_regression(
     scored: DataFrame, id_col: str, actual: str = "actual", predicted: str = "predicted",
-    cap: int | None = SAMPLE_ROWS, seed: int = 42,
+    cap: int | None = None, seed: int = 42,
 ) -> DataFrame:
     """row_id, actual_value, predicted_value, error (predicted - actual), abs_error."""
     rows = scored if cap is None else seeded_sample(scored, id_col, cap, seed)
@@ -379,10 +378,11 @@ def predictions_table_regression(
 
 def prediction_points(
     scored: DataFrame, id_col: str, actual: str = "actual", predicted: str = "predicted",
-    cap: int = SAMPLE_POINTS, seed: int = 42,
+    cap: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """A sample of (actual, predicted, residual) points for plots."""
-    return seeded_sample(scored, id_col, cap, seed).select(
+    """(actual, predicted, residual) points for plots: all rows, or ``cap`` sampled ones."""
+    rows = scored if cap is None else seeded_sample(scored, id_col, cap, seed)
+    return rows.select(
         F.round(as_double(actual), 6).alias("actual"),
         F.round(as_double(predicted), 6).alias("predicted"),
         F.round(as_double(actual) - as_double(predicted), 6).alias("residual"),

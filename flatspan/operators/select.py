@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 
 def leaderboard(fold_scores: DataFrame) -> DataFrame:
-    """model, cv_score, cv_std (population), place, is_best; equal scores go by model name.
+    """model, cv_score, cv_std (population), place, is_best; equal scores go by ``candidate`` (the place in
+    the list of candidates) where the scores tell it, then by model name.
 
     The window runs over one row per candidate model.
     """
-    order = Window.orderBy(F.col("cv_score").desc(), "model")
+    order = Window.orderBy(F.col("cv_score").desc(), "candidate", "model")
+    candidate = F.min("candidate") if "candidate" in fold_scores.columns else F.lit(0)
+    scores = F.round(F.avg("score"), 6).alias("cv_score"), F.round(F.stddev_pop("score"), 6).alias("cv_std")
     return (
         fold_scores.groupBy("model")
-        .agg(F.round(F.avg("score"), 6).alias("cv_score"), F.round(F.stddev_pop("score"), 6).alias("cv_std"))
+        .agg(*scores, candidate.alias("candidate"))
         .withColumn("place", F.row_number().over(order))
         .withColumn("is_best", F.col("place") == 1)
+        .drop("candidate")
     )
 
 

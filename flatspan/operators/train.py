@@ -22,16 +22,16 @@ from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegres
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatspan.functions.schema import as_double
-from flatspan.functions.seeded import seeded_sample
+from flatspan.functions.schema import as_double, content_id
+from flatspan.functions.seeded import placed_rows
 from flatspan.operators import clean, evaluate, facts, select, split
 
 log = logging.getLogger(__name__)
 
 SEED, FOLDS, OUTER_FOLDS = 42, 5, 3
-MAX_DEPTH = 15  # stands for "no limit"; the library's own cap is 30
-IMPORTANCE_ROWS, IMPORTANCE_REPEATS, IMPORTANCE_TOP = 2000, 10, 15
-ECE_LIMIT, ISOTONIC_ROWS, CALIBRATION_FOLDS = 0.05, 1000, 3
+MAX_DEPTH = 30  # stands for "no limit": the deepest tree the library grows
+IMPORTANCE_REPEATS, IMPORTANCE_TOP = 10, 15
+ECE_LIMIT, CALIBRATION_FOLDS = 0.05, 3
 SEEDS = (42, 7, 123, 2024, 99)
 
 Grid = dict[str, list]
@@ -56,7 +56,7 @@ class Config:
     parallelism: int = 2
     max_classes: int = 20
     top_features: int = IMPORTANCE_TOP
-    importance_rows: int = IMPORTANCE_ROWS
+    calibration: str = "isotonic"
     importance_repeats: int = IMPORTANCE_REPEATS
     nested: bool = True
     segment_columns: list[str] | None = None
@@ -100,6 +100,9 @@ def prepare(df: DataFrame, target: str, id_col: str, group_col: str | None = Non
 
     Missing feature values are filled with the training rows' medians, as linear models take none.
     """
+    if id_col not in df.columns:
+        log.warning("no column %r: rows are told apart by their content", id_col)
+        df = content_id(df, id_col)
     features, _, _ = split.feature_matrix(df, target, id_col, group_col)
     if group_col not in df.columns:
         group_col = None
@@ -152,6 +155,7 @@ def estimator(name: str, params: dict, task: str, n_classes: int, n_rows: int, s
             numTrees=params.get("trees", 100),
             maxDepth=params.get("depth") or MAX_DEPTH,
             featureSubsetStrategy="sqrt" if classify else "all",
+            bootstrap=params.get("bootstrap", True),
             seed=seed,
         )
     if name == "gradient_boosting":
@@ -164,6 +168,14 @@ def estimator(name: str, params: dict, task: str, n_classes: int, n_rows: int, s
     raise ValueError(f"no model named {name!r}")
 
 
+def fit_on(p: Prepared, name: str, params: dict, frame: DataFrame, seed: int) -> Model:
+    """Fit one point of a grid; class weights and the penalty's unit come from the rows it is fitted on."""
+    if p.task != split.REGRESSION:
+        frame = split.with_class_weight(frame.drop("weight"), "label")
+    total = frame.agg(F.sum("weight")).first()[0] if name == "logistic_regression" else 1.0
+    return estimator(name, params, p.task, len(p.labels), total, seed).fit(frame)
+
+
 def candidates(task: str) -> list[str]:
     first = "linear_regression" if task == split.REGRESSION else "logistic_regression"
     return [first, "random_forest", "gradient_boosting"]
@@ -184,22 +196,18 @@ def fold_scores(predicted: DataFrame, task: str, fold: str) -> dict[int, float]:
 
 
 def cross_validate(p: Prepared, name: str, points: list[dict], config: Config, frame: DataFrame, fold: str, folds: int) -> list[list[float]]:
-    """Scores per grid point and fold.  All fits are independent; each point's out-of-fold
-    predictions are then scored in one aggregate."""
+    """Scores per grid point and fold.  All fits are independent; a model is scored on its fold and dropped, so at most
+    ``config.parallelism`` models are alive."""
 
-    def fit(task: tuple[int, int]) -> Model:
+    def score(task: tuple[int, int]) -> float | None:
         i, k = task
-        return estimator(name, points[i], p.task, len(p.labels), p.n_train, config.seed).fit(frame.where(F.col(fold) != k))
-
-    def scores(i: int) -> list[float]:
-        held = [models[i, k].transform(frame.where(F.col(fold) == k)).select(fold, "label", "prediction") for k in range(folds)]
-        by_fold = fold_scores(reduce(DataFrame.unionByName, held), p.task, fold)
-        return [by_fold[k] for k in sorted(by_fold)]
+        model = fit_on(p, name, points[i], frame.where(F.col(fold) != k), config.seed)
+        return fold_scores(model.transform(frame.where(F.col(fold) == k)), p.task, fold).get(k)
 
     tasks = [(i, k) for i in range(len(points)) for k in range(folds)]
     with ThreadPoolExecutor(config.parallelism) as pool:
-        models = dict(zip(tasks, pool.map(fit, tasks)))
-        return list(pool.map(scores, range(len(points))))
+        found = list(pool.map(score, tasks))
+    return [[s for s in found[i * folds : (i + 1) * folds] if s is not None] for i in range(len(points))]
 
 
 def grid_search(p: Prepared, name: str, config: Config, frame: DataFrame | None = None) -> tuple[dict, list[float]]:
@@ -222,7 +230,7 @@ def nested_cv(p: Prepared, name: str, config: Config, outer: int = OUTER_FOLDS)
         inner = split.assign_folds(outside.where(F.col("outer_fold") != k), p.id_col, config.folds, label, config.seed)
         inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
         params, _ = grid_search(p, name, config, inner)
-        model = estimator(name, params, p.task, len(p.labels), p.n_train, config.seed).fit(inner)
+        model = fit_on(p, name, params, inner, config.seed)
         held.append(model.transform(outside.where(F.col("outer_fold") == k)).select("outer_fold", "label", "prediction"))
         inner.unpersist()
     scores = list(fold_scores(reduce(DataFrame.unionByName, held), p.task, "outer_fold").values())
@@ -264,27 +272,26 @@ def permutation_importance(
     model: Model,
     frame: DataFrame,
     p: Prepared,
-    rows: int = IMPORTANCE_ROWS,
     repeats: int = IMPORTANCE_REPEATS,
     top: int | None = IMPORTANCE_TOP,
     seed: int = SEED,
 ) -> DataFrame:
     """Drop of the model's own score (accuracy or R²) when one feature is shuffled.
 
-    The shuffled copies of the sample, one per feature and repeat, are scored in a single
-    transform.  The sample is at most ``rows`` rows by definition of the measure, so broadcasting
-    it and ranking it within one copy are bounded.
+    All rows take part.  They are placed in a seeded random order once, and a copy (one for each feature and repeat) takes the
+    feature's value from the row a seeded distance further on, round the end: a permutation that no task has to sort.  All
+    copies are scored in one transform.
     """
-    sample = seeded_sample(frame.select(p.id_col, "label", vector_to_array("features").alias("x")), p.id_col, rows, seed)
-    numbered = sample.withColumn("at", F.row_number().over(Window.orderBy(p.id_col))).persist()
-    copies = F.expr(f"sequence(-1, {len(p.features) * repeats - 1})")
-    exploded = numbered.repartition(p.id_col).withColumn("copy", F.explode(copies))
-    shuffled = Window.partitionBy("copy").orderBy(F.md5(F.concat_ws(":", F.lit(seed), "copy", p.id_col)))
-    placed = exploded.withColumn("from", F.when(F.col("copy") < 0, F.col("at")).otherwise(F.row_number().over(shuffled)))
+    rows = placed_rows(frame.select(p.id_col, "label", vector_to_array("features").alias("x")), p.id_col, seed)
+    numbered = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    n = numbered.count()
+    exploded = numbered.withColumn("copy", F.explode(F.expr(f"sequence(-1, {len(p.features) * repeats - 1})")))
+    ahead = 1 + F.pmod(F.xxhash64(F.lit(seed), "copy"), F.lit(max(n - 1, 1)))
+    placed = exploded.withColumn("from", F.when(F.col("copy") < 0, F.col("at")).otherwise(F.pmod(F.col("at") + ahead, F.lit(max(n, 1)))))
     donor = numbered.select(F.col("at").alias("from"), F.col("x").alias("donor"))
     place = F.floor(F.col("copy") / repeats)
     swapped = F.transform("x", lambda v, i: F.when(i == place, F.get("donor", i)).otherwise(v))
-    inputs = placed.join(F.broadcast(donor), "from").select("copy", "label", array_to_vector(swapped).alias("features"))
+    inputs = placed.join(donor, "from").select("copy", "label", array_to_vector(swapped).alias("features"))
     predicted = model.transform(inputs)
     if p.task == split.REGRESSION:
         gap = F.col("label") - F.col("prediction")
@@ -297,7 +304,10 @@ def permutation_importance(
     drops = scores.where("copy >= 0").select(
         F.element_at(names, (F.floor(F.col("copy") / repeats) + 1).cast("int")).alias("feature"), (base - F.col("s")).alias("drop")
     )
-    return facts.importance_summary(drops, top)
+    summary = facts.importance_summary(drops, top)
+    out = frame.sparkSession.createDataFrame(summary.collect(), summary.schema)  # a row for each feature
+    numbered.unpersist()
+    return out
 
 
 # --- calibration ------------------------------------------------------------------------------
@@ -310,7 +320,7 @@ def calibrated_scores(p: Prepared, name: str, params: dict, config: Config, meth
     out = p.test.select(p.id_col, "actual", "label", "features")
     columns = []
     for k in range(folds):
-        model = estimator(name, params, p.task, len(p.labels), p.n_train, config.seed).fit(frame.where(F.col("part") != k))
+        model = fit_on(p, name, params, frame.where(F.col("part") != k), config.seed)
         held = model.transform(frame.where(F.col("part") == k)).select("label", vector_to_array("probability")[1].alias("p"))
         # Equal scores are one weighted point, so the calibrator's input is as small as it can be.
         points = held.groupBy("p").agg(F.avg("label").alias("y"), F.count(F.lit(1)).cast("double").alias("n"))
@@ -348,7 +358,7 @@ def calibration_comparison(result: Result, config: Config = Config(), limit: flo
     raw = row(result.scored, "raw", None)
     if raw.first()["ece"] <= limit:
         return raw
-    method = "isotonic" if result.prepared.n_train >= ISOTONIC_ROWS else "sigmoid"
+    method = config.calibration
     return raw.unionByName(row(calibrated_scores(result.prepared, result.best, result.params, config, method), "calibrated", method))
 
 
@@ -371,18 +381,18 @@ def train(
         if name in config.grids:
             params, scores = grid_search(p, name, config)
             found[name] = params
-            rows += [(name, k, s) for k, s in enumerate(scores)]
+            rows += [(name, len(found), k, s) for k, s in enumerate(scores)]
             log.info("%s %s: %s", name, params, scores)
-    per_fold = spark.createDataFrame(rows, "model string, fold int, score double")
-    means = {name: sum(s for n, _, s in rows if n == name) / config.folds for name in found}
+    per_fold = spark.createDataFrame(rows, "model string, candidate int, fold int, score double")
+    means = {name: sum(r[3] for r in rows if r[0] == name) / config.folds for name in found}
     best = max(found, key=lambda n: round(means[n], 6))  # the first of equal candidates stays
     nested = nested_cv(p, best, config) if config.nested else None
-    model = estimator(best, found[best], p.task, len(p.labels), p.n_train, config.seed).fit(p.train)
+    model = fit_on(p, best, found[best], p.train, config.seed)
     if model_path:
         model.write().overwrite().save(model_path)
     scored = score_frame(model, p.test, p)
     importances = permutation_importance(
-        model, p.test, p, config.importance_rows, config.importance_repeats, config.top_features, config.seed
+        model, p.test, p, config.importance_repeats, config.top_features, config.seed
     )
     return Result(
         p.task, p.features, best, found[best], model, per_fold, select.leaderboard(per_fold), scored, test_metrics(scored, p), importances, nested, p

@@ -43,3 +43,10 @@ def kept(spark: SparkSession, sf: str, name: str, build: Query) -> DataFrame:
     if key not in _kept:
         _kept[key] = build(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     return _kept[key]
+
+
+def forget() -> None:
+    """Let go of all kept stages."""
+    for df in _kept.values():
+        df.unpersist()
+    _kept.clear()

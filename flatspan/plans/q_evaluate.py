@@ -157,7 +157,7 @@ def _(spark, sf):
 TABLE_SQL = """SELECT o_orderkey AS row_id, actual AS actual_label, predicted AS predicted_label, confidence, actual = predicted AS correct FROM scored"""
 
 
-@query("predictions_table", f"WITH {SCORED_CTE} {TABLE_SQL} ORDER BY md5('42:' || o_orderkey) LIMIT 5000")
+@query("predictions_table", f"WITH {SCORED_CTE} {TABLE_SQL}")
 def _(spark, sf):
     return evaluate.predictions_table_classification(scored(spark, sf), "o_orderkey")
 
@@ -165,8 +165,7 @@ def _(spark, sf):
 @query(
     "predictions_table_regression",
     f"""WITH {SCORED_CTE} SELECT o_orderkey AS row_id, price_actual AS actual_value, price_predicted AS predicted_value,
-        round(price_predicted - price_actual, 6) AS error, round(abs(price_predicted - price_actual), 6) AS abs_error FROM scored
-        ORDER BY md5('42:' || o_orderkey) LIMIT 5000""",
+        round(price_predicted - price_actual, 6) AS error, round(abs(price_predicted - price_actual), 6) AS abs_error FROM scored""",
 )
 def _(spark, sf):
     return evaluate.predictions_table_regression(scored(spark, sf), "o_orderkey", "price_actual", "price_predicted")
@@ -174,8 +173,7 @@ def _(spark, sf):
 
 @query(
     "predictions_sample",
-    f"""WITH {SCORED_CTE} SELECT price_actual AS actual, price_predicted AS predicted, round(price_actual - price_predicted, 6) AS residual FROM scored
-        ORDER BY md5('42:' || o_orderkey) LIMIT 2000""",
+    f"""WITH {SCORED_CTE} SELECT price_actual AS actual, price_predicted AS predicted, round(price_actual - price_predicted, 6) AS residual FROM scored""",
 )
 def _(spark, sf):
     return evaluate.prediction_points(scored(spark, sf), "o_orderkey", "price_actual", "price_predicted")

@@ -227,8 +227,7 @@ def _(spark, sf):
 
 @query(
     "residuals",
-    f"""WITH {SCORED_CTE} SELECT price_predicted AS predicted, price_actual AS actual, round(price_actual - price_predicted, 6) AS residual FROM scored
-        ORDER BY md5('7:' || o_orderkey) LIMIT 2000""",
+    f"""WITH {SCORED_CTE} SELECT price_predicted AS predicted, price_actual AS actual, round(price_actual - price_predicted, 6) AS residual FROM scored""",
 )
 def _(spark, sf):
     return evaluate.prediction_points(scored(spark, sf), "o_orderkey", "price_actual", "price_predicted", seed=7)
@@ -260,7 +259,7 @@ def _(spark, sf):
 
 @query(
     "scatter_points",
-    f"WITH {FLAT_CTE} SELECT CAST(n_items AS DOUBLE) AS x, round(total_price, 4) AS y FROM order_mart ORDER BY md5('42:' || o_orderkey) LIMIT 2000",
+    f"WITH {FLAT_CTE} SELECT CAST(n_items AS DOUBLE) AS x, round(total_price, 4) AS y FROM order_mart",
 )
 def _(spark, sf):
     return charts.scatter_points(mart(spark, sf), "n_items", "total_price", "o_orderkey").withColumn("y", F.round("y", 4))

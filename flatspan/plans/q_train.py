@@ -1,11 +1,13 @@
 """Queries that train models, and the stability summaries.
 
-The grids here are small, so that a query takes seconds; the library's defaults are the full ones.
-Model results have no SQL twin; the stability summaries are also run over rules, which have one.
+The grids of the searches here are small, so that a query takes seconds; the library's defaults are the full ones.  Search
+results have no SQL twin; models with a closed answer have one, and the stability summaries are also run over rules, which have one too.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from flatspan.operators import evaluate, features, profile, split, train
@@ -16,13 +18,11 @@ from flatspan.plans.q_features import PROTECTED, feature_input
 from flatspan.plans.q_split import RULES
 
 CONFIG = train.Config(
-    folds=3,
     grids={
-        "logistic_regression": {"C": [1], "max_iter": [15]},
+        "logistic_regression": {"C": [1], "max_iter": [1000]},
         "random_forest": {"trees": [5], "depth": [4, 5]},
         "gradient_boosting": {"iterations": [3], "rate": [0.1]},
     },
-    importance_repeats=5,
     nested=False,
     parallelism=6,
 )
@@ -42,6 +42,14 @@ def engineered(spark, sf):
 _results: dict[tuple[str, str, str], train.Result] = {}
 
 
+def forget() -> None:
+    """Let go of all trained models."""
+    for r in _results.values():
+        r.prepared.train.unpersist()
+        r.prepared.test.unpersist()
+    _results.clear()
+
+
 def result(spark, sf, kind: str = "binary") -> train.Result:
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _results:
@@ -51,16 +59,16 @@ def result(spark, sf, kind: str = "binary") -> train.Result:
             frame = training_frame(spark, sf).drop("is_late", "total_freight")
             _results[key] = train.train(frame, "total_price", "o_orderkey", config=regression_config())
         else:
-            vectors = table(spark, sf, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(8)])
+            vectors = table(spark, sf, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
             grids = {"logistic_regression": {"C": [1], "max_iter": [15]}, "random_forest": {"trees": [5], "depth": [5]}}
-            config = train.Config(folds=3, grids=grids, importance_repeats=3, nested=False, parallelism=6)
+            config = train.Config(grids=grids, nested=False, parallelism=6)
             _results[key] = train.train(vectors, "label", "vec_id", config=config)
     return _results[key]
 
 
 def regression_config():
     grids = {"linear_regression": {}, "random_forest": {"trees": [5], "depth": [4]}, "gradient_boosting": {"iterations": [3], "rate": [0.1]}}
-    return train.Config(folds=3, grids=grids, importance_repeats=3, nested=False, parallelism=6)
+    return train.Config(grids=grids, nested=False, parallelism=6)
 
 
 def _metric_rows(spark, r):
@@ -130,6 +138,67 @@ def _(spark, sf):
     return train.metric_stability(runs.metrics)
 
 
+# --- models whose answer has a closed form, so that SQL can give it ---------------------------------
+
+
+def urgent_orders(spark, sf):
+    """Orders with one 0/1 feature, an amount and a 0/1 label."""
+    x = F.col("o_orderpriority").startswith("1").cast("double")
+    late = (F.pmod(F.col("o_orderkey"), F.when(x == 1, 3).otherwise(5)) == 0).cast("double")
+    frame = table(spark, sf, "orders").select("o_orderkey", x.alias("x"), F.col("o_totalprice").alias("amount"), late.alias("late"))
+    return VectorAssembler(inputCols=["x"], outputCol="features").transform(frame).withColumn("weight", F.lit(1.0))
+
+
+def prepared(frame, task: str, labels: list) -> train.Prepared:
+    return train.Prepared(frame, frame.limit(0), ["x"], task, labels, "o_orderkey", 0, "row_random")
+
+
+def fitted(spark, sf, name: str, params: dict, task: str, target: str, labels: list):
+    frame = urgent_orders(spark, sf).withColumn("label", F.col(target))
+    model = train.fit_on(prepared(frame, task, labels), name, params, frame, train.SEED)
+    return model.transform(frame)
+
+
+URGENT_CTE = """u AS (SELECT (o_orderpriority LIKE '1%')::DOUBLE AS x, o_totalprice AS amount,
+  (o_orderkey % CASE WHEN o_orderpriority LIKE '1%' THEN 3 ELSE 5 END = 0)::DOUBLE AS late FROM orders)"""
+MEANS_SQL = f"WITH {URGENT_CTE} SELECT x, count(*) AS n, round(avg(amount), 3) AS prediction FROM u GROUP BY x"
+
+
+@query(
+    "train_linear_closed_form",
+    "SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"), F.lit(1.0).alias("weight"))
+    frame = VectorAssembler(inputCols=["x"], outputCol="features").transform(lines)
+    model = train.fit_on(prepared(frame, split.REGRESSION, []), "linear_regression", {}, frame, train.SEED)
+    line = [(float(model.coefficients[0]), float(model.intercept))]
+    return spark.createDataFrame(line, "slope double, intercept double").select(F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+@query(
+    "train_logistic_shares",
+    f"""WITH {URGENT_CTE}, w AS (SELECT late, (SELECT count(*) FROM u) / (2.0::DOUBLE * count(*)) AS weight FROM u GROUP BY late)
+        SELECT x, count(*) AS n, round(sum(weight * late) / sum(weight), 3) AS score FROM u JOIN w USING (late) GROUP BY x""",
+)
+def _(spark, sf):
+    out = fitted(spark, sf, "logistic_regression", {"C": 1e12}, split.BINARY, "late", [0, 1])
+    score = F.round(F.avg(vector_to_array("probability")[1]), 3).alias("score")
+    return out.groupBy("x").agg(F.count(F.lit(1)).alias("n"), score)
+
+
+@query("train_tree_means", MEANS_SQL)
+def _(spark, sf):
+    out = fitted(spark, sf, "random_forest", {"trees": 1, "depth": 1, "bootstrap": False}, split.REGRESSION, "amount", [])
+    return out.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 3).alias("prediction"))
+
+
+@query("train_boosting_means", MEANS_SQL)
+def _(spark, sf):
+    out = fitted(spark, sf, "gradient_boosting", {"iterations": 1}, split.REGRESSION, "amount", [])
+    return out.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 3).alias("prediction"))
+
+
 # --- stability over rules -----------------------------------------------------------------------
 
 SEEDS = train.SEEDS

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,8 +50,9 @@ def test_binary_run(binary):
 
 
 def test_calibration(binary):
-    out = {r["series"]: r for r in train.calibration_comparison(binary, TINY, limit=-1.0).collect()}
-    assert out["calibrated"]["method"] == "sigmoid" and 0 <= out["calibrated"]["brier_score"] <= 1
+    for method in ("sigmoid", "isotonic"):
+        out = {r["series"]: r for r in train.calibration_comparison(binary, replace(TINY, calibration=method), limit=-1.0).collect()}
+        assert out["calibrated"]["method"] == method and 0 <= out["calibrated"]["brier_score"] <= 1
     assert [r["series"] for r in train.calibration_comparison(binary, TINY, limit=1.0).collect()] == ["raw"]
     isotonic = train.calibrated_scores(binary.prepared, binary.best, binary.params, TINY, "isotonic", 2)
     assert isotonic.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
@@ -124,3 +127,17 @@ def test_stream_duplicates(spark):
     df.write.parquet(folder)
     out = stream.drain(stream.drop_late_duplicates(stream.read_folder(spark, folder, df.schema), ["k"], "at", "1 hour"), "unique")
     assert sorted(r["k"] for r in out.collect()) == list(range(10))
+
+
+def test_rows_without_an_id(spark):
+    df = spark.range(60).selectExpr("double(id % 7) AS x", "double(id) AS z", "int(id % 2) AS y")
+    p = train.prepare(df, "y", "nothing")
+    assert p.features == ["x", "z"] and p.train.count() + p.test.count() == 60
+
+
+def test_placed_rows(spark):
+    from flatspan.functions.seeded import placed_rows
+
+    out = placed_rows(spark.range(500).repartition(7), "id", 3).collect()
+    assert sorted(r["at"] for r in out) == list(range(500)) and [r["id"] for r in sorted(out, key=lambda r: r["at"])] != list(range(500))
+    assert placed_rows(spark.range(0), "id").count() == 0
