@@ -235,8 +235,9 @@ def repeated_spans(docs: DataFrame, shard_runs: int = SHARD_RUNS) -> tuple[DataF
     of = ["key", "check"]
     found = write_stage(anchors(docs), "suffix-anchors")
     many = write_stage(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "suffix-many")
-    kept = found.join(many, "hash", "left_semi").distinct()  # copies of a text are one text
-    kept = write_stage(kept, "suffix-kept")
+    # Written before copies are dropped: an aggregate right behind the join would keep a frequent anchor in one task.
+    kept = write_stage(found.join(many, "hash", "left_semi"), "suffix-repeated")
+    kept = write_stage(kept.distinct(), "suffix-kept")  # copies of a text are one text
     place = F.struct("key", "check", "start")
     same = kept.groupBy("hash", "run", "shape").agg(F.count("*").alias("copies"), F.min(place).alias("at"))
     same = write_stage(same, "suffix-runs")
