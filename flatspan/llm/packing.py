@@ -38,7 +38,7 @@ GRID = 4
 #: Columns that may enter for one run of the knapsack.
 PIVOTS = 5
 #: Pieces of one size that are ranked together.
-RANK_ROWS = 1000
+RANK_ROWS = 200
 #: Fixed value: the pattern by which the byte-level vocabulary splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
