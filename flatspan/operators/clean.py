@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatspan.functions.quantiles import DIRECT_LIMIT, exact_quantiles
-from flatspan.functions.schema import as_double, as_text, categorical_columns, nan_to_null, numeric_columns, quoted, strip
+from flatspan.functions.schema import as_double, as_text, categorical_columns, content_id, nan_to_null, numeric_columns, quoted, strip
 
 # The texts that stand for a missing value, and those that count as blank.
 PLACEHOLDERS = ["unknown", "error", "n/a", "na", "none", "null", "-", "--", ""]
@@ -77,6 +77,8 @@ def placeholders_to_null(df: DataFrame, values: Iterable[str] | None = None) ->
 def placeholder_counts(df: DataFrame, values: Iterable[str] | None = None) -> DataFrame:
     """column_name, n_placeholders; only columns that have any."""
     cols = _text_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n_placeholders long")
     counts = df.agg(*[F.count_if(_is_placeholder(c, values)).alias(c) for c in cols])
     return long_format(counts, cols, "n_placeholders").where("n_placeholders > 0")
 
@@ -304,22 +306,32 @@ def clean(
     placeholder_values: list[str] | None = None,
     direct_limit: int = DIRECT_LIMIT,
     stage: Callable[[DataFrame], DataFrame] = DataFrame.persist,
+    protected: Iterable[str] = (),
+    row_id: str | None = None,
 ) -> tuple[DataFrame, CleaningModel, CleaningReport]:
     """Duplicates, placeholders, types, missing values, near-constant columns, in this order.
 
     The frame after duplicate removal, the one full shuffle of the step, is scanned several times:
     ``stage`` keeps it.  The default persists it; large jobs pass ``session.write_stage``.
+
+    ``protected`` columns (a target, ids, groups) are neither filled nor dropped.  ``row_id`` adds an id from the rows' content
+    as it is after duplicate removal, when rows still differ.
     """
     source = nan_to_null(df)
-    unique = stage(source.dropDuplicates())
+    unique = source.dropDuplicates()
+    if row_id is not None:
+        unique = content_id(unique, row_id)
+    unique = stage(unique)
+    kept = {*protected, *([row_id] if row_id is not None else [])}
     n_in, n_unique = source.count(), unique.count()
-    counts = {r["column_name"]: r["n_placeholders"] for r in placeholder_counts(unique, placeholder_values).collect()} if _text_columns(unique) else {}
+    counts = {r["column_name"]: r["n_placeholders"] for r in placeholder_counts(unique.drop(*kept - set(protected)), placeholder_values).collect()}
     normalized = placeholders_to_null(unique, placeholder_values)
     typed, converted = correct_types(normalized)
-    fills = fit_fill_values(typed, high_missing_threshold, direct_limit)
-    numeric, categorical = numeric_columns(typed), categorical_columns(typed)
+    open_ = typed.drop(*kept)
+    fills = fit_fill_values(open_, high_missing_threshold, direct_limit)
+    numeric, categorical = numeric_columns(open_), categorical_columns(open_)
     filled = fill_missing(typed, fills)
-    dropped = low_variance_columns(filled, low_variance_threshold) if n_unique else []
+    dropped = low_variance_columns(filled.drop(*kept), low_variance_threshold) if n_unique else []
     too_empty = [c for c in fills.high_missing if drop_high_missing and c not in dropped]
     result = filled.drop(*dropped, *too_empty)
     report = CleaningReport(

@@ -18,7 +18,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspan.functions.schema import categorical_columns, content_id, numeric_columns
+from flatspan.functions.schema import categorical_columns, numeric_columns
 from flatspan.operators import charts, clean, evaluate, facts, features, history, profile, select, split, tables, train
 from flatspan.session import write_stage
 from flatspan.sources import runs as run_files
@@ -63,10 +63,13 @@ class _Job:
         return self.frames[name]
 
     def clean(self) -> str:
-        cleaned, _, self.cleaning = clean.clean(self.df, stage=lambda d: write_stage(d, "unique"))
-        if self.id_col is None or self.id_col not in cleaned.columns:
-            self.id_col = "row_id"
-            cleaned = content_id(cleaned, self.id_col)
+        row_id = None
+        if self.id_col is None or self.id_col not in self.df.columns:
+            self.id_col = row_id = "row_id"
+        protected = [c for c in (self.id_col, self.target, self.group_col) if c in self.df.columns]
+        cleaned, _, self.cleaning = clean.clean(
+            self.df, stage=lambda d: write_stage(d, "unique"), protected=protected, row_id=row_id
+        )
         self.frames["cleaned"] = self._table(cleaned, "cleaned")
         self._report(clean.report_rows(self.spark, self.cleaning), "cleaning")
         return self.outputs["cleaned"]

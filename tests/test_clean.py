@@ -111,3 +111,10 @@ def test_clean_can_drop_mostly_missing_columns(spark):
     assert clean.clean(df)[0].columns == ["id", "c"]
     out, _, report = clean.clean(df, drop_high_missing=True)
     assert out.columns == ["id"] and report.high_missing_columns_dropped == ["c"]
+
+
+def test_protected_columns_and_row_ids(spark):
+    df = spark.createDataFrame([(1, None, 0.0), (1, None, 0.0), (2, None, 0.0), (3, 5.0, 1.0), (None, 5.0, None)], "k long, x double, y double")
+    out, _, report = clean.clean(df, protected=["y"], row_id="row_id", low_variance_threshold=0.5)
+    assert report.numeric_columns_imputed == ["k", "x"] and "y" in out.columns
+    assert out.where("y is null").count() == 1 and out.select("row_id").distinct().count() == 4
