@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspan.functions.quantiles import order_statistics
-from flatspan.functions.schema import plain_lines, strip
+from flatspan.functions.schema import plain_lines, quoted, strip
 from flatspan.operators.clean import CleaningReport, report_rows
 
 # Display names of metrics and tasks, and the words that place a section.
@@ -32,6 +31,10 @@ SECTION_WORDS = {
 }
 
 
+#: Keys that divide the rows once on the way to a far page.
+PAGE_DIVIDERS = 64
+
+
 def _lookup(key: Column, values: dict[str, str], default: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
     return F.coalesce(table[key], default)
@@ -83,20 +86,31 @@ def search_rows(predictions: DataFrame, text: str | None, column: str = "row_id"
 
 
 def page(df: DataFrame, number: int, size: int, order_by: str, near_limit: int = 100_000) -> DataFrame:
-    """One page in key order, counted from 1; numbers outside go to the nearest page.
+    """One page in key order (nulls first), counted from 1; numbers outside go to the nearest page.
 
-    Near pages are a top-k.  For a page far into a large table the key of its first row is found
-    as an order statistic, and the page is a top-k from there, so that no task sorts what comes
-    before.  ``order_by`` must be a unique numeric key for that; other keys sort to the offset.
+    A page is a top-k.  For a page far into a table the key it begins near is found first: a few keys, compared in their own
+    type, divide the rows, one aggregate counts the rows below each, and the range that holds the page is divided again, until no
+    more than ``near_limit`` rows come before the page's end.  So no task sorts what comes before, whatever the key's type.
     """
     rows = df.count()
     pages = max(1, -(-rows // size))
     start = (min(max(1, number), pages) - 1) * size
-    numeric = dict(df.dtypes)[order_by] in ("tinyint", "smallint", "int", "bigint")
-    if start + size > near_limit and numeric and start < rows:
-        first = order_statistics(df, {order_by: [start]})[order_by, start]
-        return df.where(F.col(order_by) >= F.lit(first)).orderBy(order_by).limit(size)
-    return df.orderBy(order_by).offset(start).limit(size)
+    key, low, high, before = quoted(order_by), None, None, 0
+    while True:
+        here = df if low is None else df.where(key >= F.lit(low))
+        if start - before + size <= near_limit:
+            break
+        inside = here.where(key.isNotNull() if low is None else key > F.lit(low))
+        inside = inside if high is None else inside.where(key < F.lit(high))
+        divided = inside.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(PAGE_DIVIDERS).distinct().collect()
+        keys = sorted(r["k"] for r in divided)
+        if not keys:
+            break
+        counts = here.agg(*[F.count_if(key.isNull() | (key < F.lit(k))).alias(f"c{i}") for i, k in enumerate(keys)]).first()
+        reached = [(k, before + counts[i]) for i, k in enumerate(keys)]
+        high = next((k for k, n in reached if n > start), high)
+        low, before = next(((k, n) for k, n in reversed(reached) if n <= start), (low, before))
+    return here.orderBy(key).offset(start - before).limit(size)
 
 
 def preview(df: DataFrame, n: int = 10) -> tuple[DataFrame, tuple[int, int]]:

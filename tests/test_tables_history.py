@@ -29,6 +29,13 @@ def test_pages(spark, near, page, first):
     assert column(tables.page(df, page, 10, "id", near_limit=near), "id") == list(range(first, min(first + 10, 95)))
 
 
+@pytest.mark.parametrize("key", ["id + bigint(1152921504606846976)", "lpad(id, 5, '0')", "id div 3", "if(id < 30, null, id)", "double(id) / 7"])
+def test_far_pages_of_any_key(spark, key):
+    df = spark.range(200).selectExpr(f"{key} AS k").repartition(3)
+    want = [r["k"] for r in df.orderBy("k").collect()][110:120]
+    assert column(tables.page(df, 12, 10, "k", near_limit=12), "k") == want
+
+
 def test_page_of_nothing(spark):
     assert tables.page(spark.range(0), 2, 10, "id").count() == 0
 
