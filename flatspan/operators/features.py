@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flatspan.functions.schema import as_double, as_text, categorical_columns, numeric_columns, quoted
+from flatspan.session import write_stage
 from flatspan.operators.profile import correlation_pairs, skewness_of
 
 UNKNOWN_CATEGORY = "__unknown__"  # fixed value: the dummy column of missing values
@@ -144,31 +145,34 @@ def fit_encoding(df: DataFrame, ohe_threshold: int = 20, protected: Iterable[str
         ).first()
         for i, c in enumerate(few):
             out.one_hot[c] = sorted([*seen[f"v{i}"], *([UNKNOWN_CATEGORY] if seen[f"m{i}"] else [])])
-    for c in cols:
-        if c not in few:
-            out.frequency[c] = frequency_table(df, c)
+    many = [c for c in cols if c not in few]
+    total = df.count() if many else 0
+    for c in many:
+        # Written once: it is read for frequent and for other values, and for every batch of a stream.
+        out.frequency[c] = write_stage(frequency_table(df, c, total), "frequency")
     return out
 
 
-def frequency_table(df: DataFrame, column: str) -> DataFrame:
+def frequency_table(df: DataFrame, column: str, total: int | None = None) -> DataFrame:
     """value, n, frequency; frequency is the share of all rows, those without a value included."""
-    total = df.count()
+    total = df.count() if total is None else total
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        df.where(quoted(column).isNotNull())
+        .groupBy(quoted(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("frequency", F.col("n") / F.lit(float(total)))
     )
 
 
-def dummy_names(column: str, values: list[str]) -> dict[str, str]:
+def dummy_names(column: str, values: list[str], taken: Iterable[str] = ()) -> dict[str, str]:
     """Column name per value; characters that are awkward in column names become ``_``, and values
-    that would share a name get a number."""
+    that would share a name, with each other or with a column that is there, get a number."""
     out: dict[str, str] = {}
+    taken = set(taken)
     for value in values:
         name = plain = f"{column}_{re.sub(r'[^0-9A-Za-z_#@+-]+', '_', value)}"
         number = 1
-        while name in out.values():
+        while name in out.values() or name in taken:
             number += 1
             name = f"{plain}_{number}"
         out[value] = name
@@ -178,10 +182,12 @@ def dummy_names(column: str, values: list[str]) -> dict[str, str]:
 def apply_one_hot(df: DataFrame, one_hot: dict[str, list[str]]) -> DataFrame:
     """Replace each column by its dummies, at the end; values not seen in the fit give zeros."""
     here = {c: v for c, v in one_hot.items() if c in df.columns}
-    dummies = []
+    dummies, taken = [], {c for c in df.columns if c not in here}
     for c, values in here.items():
+        names = dummy_names(c, values, taken)
+        taken |= set(names.values())
         filled = F.coalesce(as_text(c), F.lit(UNKNOWN_CATEGORY))
-        dummies += [(filled == F.lit(v)).cast("int").alias(n) for v, n in dummy_names(c, values).items()]
+        dummies += [(filled == F.lit(v)).cast("int").alias(n) for v, n in names.items()]
     return df.select(*[quoted(c) for c in df.columns if c not in here], *dummies)
 
 
@@ -198,9 +204,9 @@ def apply_frequency(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
     cold = table.where(F.col("frequency") < HOT_SHARE).select(
         F.col("value").alias(column), F.lit(0).alias("_salt"), F.col("frequency").alias("_cold")
     )
-    others = [c for c in df.columns if c != column]
+    others = [c for c in df.columns if c != column] or [column]
     spread = F.pmod(F.xxhash64(*[quoted(c) for c in others]), F.lit(4096)).cast("int") + 1
-    answered = F.col("_hot").isNotNull() | F.col(column).isNull()
+    answered = F.col("_hot").isNotNull() | quoted(column).isNull()
     joined = (
         df.join(F.broadcast(hot), column, "left")
         .withColumn("_salt", F.when(answered, spread).otherwise(0))

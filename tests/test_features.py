@@ -85,3 +85,15 @@ def test_pipeline_protects(spark):
     assert rows(out, "order_id", "late") == rows(df, "order_id", "late")
     steps = {r["step"] for r in features.feature_report(df, model).collect()}
     assert steps == {"redundant_dropped", "log1p", "scaled", "frequency", "one_hot"}
+
+
+def test_dummies_keep_clear_of_other_columns(spark):
+    df = spark.createDataFrame([("b", 1, "x"), ("c", 2, "y")], "a string, a_b int, z string")
+    out = features.apply_one_hot(df, {"a": ["b", "c"], "z": ["x", "y"]})
+    assert out.columns == ["a_b", "a_b_2", "a_c", "z_x", "z_y"]
+
+
+def test_frequency_of_a_single_column(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
+    out = features.apply_frequency(df, "v", features.frequency_table(df, "v"))
+    assert sorted(r["v"] for r in out.collect()) == [0.0, 0.25, 0.5, 0.5]
