@@ -190,3 +190,19 @@ def test_csv_keeps_quotes_line_breaks_and_blanks(spark, tmp_path):
     other.write_text('id,text,v\n1,"a ""quoted"" word, here",5\n2,NA,n/a\n3,"two\nlines",x\n')
     got = sorted(tuple(r) for r in read_csv(spark, str(other), "id bigint, text string, v double").collect())
     assert got == [(1, 'a "quoted" word, here', 5.0), (2, None, None), (3, "two\nlines", None)]
+
+
+def test_recent_history_reads_recent_days_only(spark, tmp_path):
+    from flatspan.sources import runs as files
+
+    path = str(tmp_path / "runs")
+    assert files.read_recent(spark, path, history.RUN_SCHEMA, 5).count() == 0
+    rows_ = spark.range(60).selectExpr(
+        "string(id) AS run_id", "'clean' AS step", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id div 10)) AS started_at",
+        "cast(NULL AS timestamp_ntz) AS finished_at", "'success' AS status", "'' AS input_path", "'' AS output_path", "'' AS error_message", "0D AS duration_seconds",
+    )
+    files.append_runs(rows_, path)
+    recent = files.read_recent(spark, path, history.RUN_SCHEMA, 15)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert recent.count() == 20 and "PartitionFilters: [isnotnull(day" in plan
+    assert files.read_recent(spark, path, history.RUN_SCHEMA, 999).count() == 60
