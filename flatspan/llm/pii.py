@@ -20,6 +20,7 @@ import hmac
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,31 +41,30 @@ _OTHER = ("Dr", "Prof")
 _TITLE = "|".join(sorted((*_MALE, *_FEMALE, *_OTHER), key=len, reverse=True))
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 
-_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _PATTERN = re.compile(
     "|".join(
         (
-            r"(?P<email>[\w.%+-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})",
+            r"(?P<email>(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})",
             r"(?:\b(?i:passwords?|passwd|pwd|secret|token|api[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?(?P<secret>[^\s\"'<>,;]{6,}))",
             r"(?P<key>\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})\b)",
-            r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)",
-            rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d))",
-            r"(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)"
-            r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}([.-])\d{3}\6\d{4}(?![\w]))",
-            r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-            r"(?P<card>(?<![\w-])(?:\d{4}(?:[ -]?\d{4}){3}|\d(?:[ -]?\d){12,18})(?!\w))",
-            rf"(?:\b(?P<title>{_TITLE})\.?[  ](?P<person>{_NAME}(?:[  ]{_NAME}){{0,2}}))",
+            r"(?P<iban>\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)",
+            rf"(?P<ip>(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9]))",
+            r"(?P<phone>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\)|[ .-]?[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)"
+            r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}(?P<dash>[.-])[0-9]{3}(?P=dash)[0-9]{4}(?![\w]))",
+            r"(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
+            r"(?P<card>(?<![\w-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|[0-9](?:[ -]?[0-9]){12,18})(?!\w))",
+            rf"(?:\b(?P<title>{_TITLE})\.?[ \xa0](?P<person>{_NAME}(?:[ \xa0]{_NAME}){{0,2}}))",
         )
-    ).replace(r"\6", "(?P=dash)").replace("([.-])", "(?P<dash>[.-])")
+    )
 )
 #: Kinds in the order of the pattern.
 KINDS = ("email", "secret", "key", "iban", "ip", "phone", "ssn", "card", "person")
 
-#: Every text with an entity holds one of these.
-TRIGGER = (
-    r"@|(?i:passw|pwd|secret|token|api[_-]?key)|AKIA|gh[pousr]_|sk-|\d(?:[ .()-]{0,3}\d){6}|\d\.\d{1,3}\.\d|[A-Z]{2}\d{2} ?[A-Z0-9]{4}"
-    rf"|(?:{_TITLE})\.?[ \x{{a0}}]"
-)
+#: Every text with an entity holds one of these parts or matches one of these patterns.
+TRIGGER_PARTS = ("@", "=", ":", "AKIA", "sk-")
+_INITIALS = "".join(sorted({t[0] for t in (*_MALE, *_FEMALE, *_OTHER)}))
+TRIGGERS = (r"[0-9][ .-]?[0-9]", "gh[pousr]_", rf"(?=[{_INITIALS}])(?:{_TITLE})\.?[ \x{{a0}}]")
 
 
 def _passes(digits: str) -> bool:
@@ -201,7 +201,8 @@ def render(said: str, kind: str, value: str) -> str:
 
 
 def candidates(text: Column) -> Column:
-    return F.coalesce(text.rlike(TRIGGER), F.lit(False))
+    tests = [text.contains(x) for x in TRIGGER_PARTS] + [text.rlike(x) for x in TRIGGERS]
+    return F.coalesce(reduce(Column.__or__, tests), F.lit(False))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
