@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from flatspan.llm.packing import default_tokenizer, load_encoder, text_blocks
 from flatspan.session import new_stage_path, write_stage
 
+_WORD = re.compile(r"\S+")
 KINDS = ("insert", "delete", "revise")
 KEYS = ("source", "lang", "tokenizer_version")
+#: Files of a batch at most; a batch has a row for each group, not for each document.
+BATCH_FILES = 8
 TOTALS = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
 
 
@@ -60,7 +63,7 @@ class Rollup:
         """Add a batch; False if it is there already."""
         if self.committed(batch):
             return False
-        signed(changes).write.mode("overwrite").parquet(self._path(batch))
+        signed(changes).coalesce(BATCH_FILES).write.mode("overwrite").parquet(self._path(batch))
         return True
 
     def totals(self, batches: list[str]) -> DataFrame:
@@ -79,10 +82,13 @@ def counted(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load_encoder(tokenizer or default_tokenizer())
         for batch in batches:
-            texts = [x.as_py() or "" for x in batch.column(4)]
-            words = pa.array([len(x.split()) for x in texts], pa.int64())
-            tokens = pa.array([sum(len(encode(b)) for b in text_blocks(x)) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], words, tokens], names=names)
+            words, tokens = [], []
+            for value in batch.column(4):
+                text = value.as_py() or ""
+                words.append(sum(1 for _ in _WORD.finditer(text)))
+                tokens.append(sum(len(encode(b)) for b in text_blocks(text)))
+            counts = pa.array(words, pa.int64()), pa.array(tokens, pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *counts], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text_hash"), "text")
     return rows.mapInArrow(run, schema)
