@@ -16,7 +16,7 @@ none); an empty table gives no rows.  Columns other than doc_id and text are not
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -205,12 +205,17 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, shard_rows: int = SH
     """
     marked = write_stage(fingerprints(docs, shingle), "simhash-marked")
     classes = write_stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    labels = connected(link_fingerprints(classes, shard_rows), "simhash")
+    return components_of(marked, classes, link_fingerprints(classes, shard_rows), "simhash")
+
+
+def components_of(marked: DataFrame, classes: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(doc_id, fp, component_id) of the rows ``marked`` (doc_id, fp); ``classes`` (fp, first) has the smallest id of each ``fp``."""
+    labels = connected(links, name)
     joined = labels.join(classes.withColumnRenamed("fp", "vertex"), "vertex")
-    least = write_stage(joined.groupBy("label").agg(F.min("first").alias("least")), "simhash-least")
-    linked = write_stage(labels.join(least, "label").select(F.col("vertex").alias("fp"), "least"), "simhash-linked")
+    least = write_stage(joined.groupBy("label").agg(F.min("first").alias("least")), f"{name}-least")
+    linked = write_stage(labels.join(least, "label").select(F.col("vertex").alias("fp"), "least"), f"{name}-linked")
     named = classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    named = write_stage(named, "simhash-named")
+    named = write_stage(named, f"{name}-named")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -220,27 +225,32 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows that share their doc_id and fingerprint are copies of one document, of which one stays; documents without an id
     stay once for each fingerprint of a group without any id.
     """
-    groups = simhash_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return one_of_each(docs, simhash_groups(docs), lambda data: _signed(fingerprint(data)))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, code: Callable[[bytes], int]) -> DataFrame:
+    """The rows of ``docs`` that name their group in ``groups`` (doc_id, fp, component_id); ``code`` gives a text's signed ``fp``."""
+    groups = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = write_stage(groups.select("doc_id", "fp").distinct(), "simhash-kept")
     twice = kept.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty()
     if twice:
         once = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
         return once.dropDuplicates(["doc_id"]).select(docs.columns)
     name = unused(docs, "fp")
-    marked = fingerprints_of(docs, name)
+    marked = fingerprints_of(docs, name, code)
     same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked[name] == kept["fp"])
     return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
 
 
-def fingerprints_of(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
-    """All columns of ``docs`` and the fingerprint as ``name``."""
+def fingerprints_of(docs: DataFrame, name: str, code: Callable[[bytes], int]) -> DataFrame:
+    """All columns of ``docs`` and the code of the text as ``name``."""
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            fps = np.array([fingerprint((x.as_py() or "").encode(), shingle) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps)], names=[*batch.schema.names, name])
+            codes = [code((x.as_py() or "").encode()) for x in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.int64())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)
 

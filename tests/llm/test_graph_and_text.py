@@ -7,7 +7,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from flatspan.llm import chat, quality, simhash, token_counts
+import corpus_pipeline
+from flatspan.llm import chat, quality, simhash, similar, token_counts
 from flatspan.llm.components import Forest, connected
 from flatspan.session import new_stage_path
 from tests.conftest import rows
@@ -193,3 +194,34 @@ def test_token_counts(spark):
     df = spark.createDataFrame([(1, "a b", "s", "en"), (2, None, "s", "en"), (3, "a b", None, None)], "doc_id long, text string, source string, lang string")
     got = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in token_counts.counted(df.withColumn("n_tokens", F.lit(0))).collect()}
     assert got == {1: (2, 2), 2: (0, 0), 3: (2, 2)}
+
+
+@pytest.mark.parametrize("block_bytes", [similar.BLOCK_BYTES, 4096])
+def test_similar_documents_equal_brute_force(spark, block_bytes):
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(30):
+        words = [f"w{i}x{j}" for j in range(300)]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 3, 4, 5, 6, 7, 9, 12):  # similarities from 0.98 down to below 0.8
+            copy = words.copy()
+            for at in (rng.choice(58, changes, replace=False) * 5 + 2).tolist():
+                copy[at] = f"c{rng.integers(1 << 40)}"
+            texts.append(" ".join(copy).upper() if changes == 2 else " ".join(copy))
+    texts += ["", " ", None, "one two", "ONE two", "one three"]
+    sets = [(lambda w: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))})((t or "").lower().split()) for t in texts]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    root = components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if near(sets[i], sets[j])])
+    least = {r: min(i for i in range(len(texts)) if root[i] == r) for r in root}
+    df = spark.createDataFrame(list(enumerate(texts)), DOC)
+    got = {r["doc_id"]: r["component_id"] for r in similar.similar_groups(df, block_bytes=block_bytes).collect()}
+    assert got == {i: least[root[i]] for i in range(len(texts))}
+
+
+def test_pipeline_drops_similar_documents(spark):
+    words = [f"w{j}" for j in range(200)]
+    copies = [" ".join("new" if j in at else w for j, w in enumerate(words)) for at in ((), (50,), (50, 100, 150))]
+    df = spark.createDataFrame([*enumerate(copies), (3, " ".join(words[:100])), (3, "other words")], DOC).withColumn("fp", F.lit("clash"))
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 3, 3]
+    assert corpus_pipeline.near_duplicates(spark, df.where("doc_id < 0"), "").count() == 0
