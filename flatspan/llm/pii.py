@@ -76,10 +76,86 @@ def _iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
-def find(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, kind, normalised value) of every entity; kinds of persons tell the gender, as in "person/f"."""
-    at = 0
-    while m := _PATTERN.search(text, at):
+#: Signs of an IBAN by country.
+IBAN_SIGNS = {
+    c: n
+    for n, countries in (
+        (15, "NO"), (16, "BE"), (18, "DK FO FI GL NL"), (19, "MK SI"), (20, "AT BA EE KZ LT LU XK"), (21, "CH HR LI LV"), (22, "BG BH CR DE GB GE IE ME RS VA"),
+        (23, "AE GI IL IQ OM TL"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "FR GR IT MC MR SM"),
+        (28, "AL AZ BY CY DO GT HU LB PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU"), (31, "MT SC"),
+    )
+    for c in countries.split()
+}
+_DIGITS = re.compile(r"[0-9]+")
+#: Digits of a run in which cards are looked for together, and the signs after a phone number in which what it runs into must end.
+RUN_DIGITS, BEHIND = 48, 24
+_RUN = re.compile(rf"[0-9](?:[ -]?[0-9]){{0,{RUN_DIGITS - 1}}}")
+
+
+def _iban_end(said: str) -> int:
+    """How much of a match is an IBAN: as much as its country has signs, or else the most groups that pass; 0 if none do."""
+    ends = [i for i in range(len(said), 11, -1) if i == len(said) or said[i] == " "]
+    ends.sort(key=lambda i: i - said.count(" ", 0, i) != IBAN_SIGNS.get(said[:2]))
+    return next((i for i in ends if _iban_rest(said[:i].replace(" ", "")) == 1), 0)
+
+
+def _issued(digits: str) -> bool:
+    """Whether a card network has numbers of this length with this start."""
+    return {13: digits[0] == "4", 14: digits[:2] in ("30", "36", "38", "39"), 15: digits[:2] in ("34", "37"), 16: digits[0] in "23456", 19: digits[0] in "46"}.get(len(digits), False)
+
+
+def _cards(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Cards (start, end) that do not overlap, best first chosen, and the starts of the groups, in the run of digits that the match
+    from ``start`` to ``end`` begins.  Besides the match a card is whole groups: one, or four digits and groups of at least three."""
+    run = _RUN.match(text, start)
+    groups = [g.span() for g in _DIGITS.finditer(text, start, run.end())]
+    if len(groups) > 1 and text[run.end() : run.end() + 1].isdecimal():
+        groups.pop()  # cut by the bound
+    spans = {(start, end)}
+    for i, (a, b) in enumerate(groups):
+        size, j = b - a, i
+        if size > 12:
+            spans.add((a, b))
+        while size < 19 and groups[i][1] - a == 4 and j + 1 < len(groups) and groups[j + 1][1] - groups[j + 1][0] >= (1 if size >= 16 else 3):
+            j += 1
+            size += groups[j][1] - groups[j][0]
+            if size > 12:
+                spans.add((a, groups[j][1]))
+    ranked = []
+    for a, b in spans:
+        digits = re.sub("[ -]", "", text[a:b])
+        if b < len(text) and re.match(r"\w", text[b]) or not 13 <= len(digits) <= 19:
+            continue
+        if _passes(digits):
+            ranked.append((not _issued(digits), (a, b) != (start, end), a, -b))
+        elif len(digits) == 16 and digits[0] in "3456":
+            ranked.append((2, (a, b) != (start, end), a, -b))
+    chosen = []
+    for _, _, a, b in sorted(ranked):
+        if all(-b <= x or a >= y for x, y in chosen):
+            chosen.append((a, -b))
+    return sorted(chosen), [a for a, _ in groups]
+
+
+def _phone_end(text: str, start: int, end: int, stop: int) -> int:
+    """How much of a match is a phone number: 7 to 15 digits in whole groups, up to an entity that the match runs into; 0 if none."""
+    first = _DIGITS.search(text, start).end()
+    many = sum(map(str.isdecimal, text[start:end]))
+    met = next(((a, b) for a, b, _, _ in find(text, first, min(stop, end + BEHIND)) if a < end and b >= end + (many <= 15)), None)
+    last = met[0] if met else end
+    for g in reversed(list(_DIGITS.finditer(text, start, last))):
+        if 7 <= sum(map(str.isdecimal, text[start : g.end()])) <= 15:
+            return g.end()
+    return 0
+
+
+def find(text: str, at: int = 0, stop: int | None = None) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, kind, normalised value) of every entity; kinds of persons tell the gender, as in "person/f".
+
+    A match that fails its check is tried with fewer groups, and what is left of it is looked at again.
+    """
+    stop = len(text) if stop is None else stop
+    while m := _PATTERN.search(text, at, stop):
         kind = next(k for k in KINDS if m[k])
         said, (start, end) = m[kind], m.span(kind)
         at = m.end()
@@ -98,14 +174,35 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
             value = said.lower()
         elif kind in ("secret", "key", "ip"):
             value = said
-        else:
-            value = re.sub(r"[^A-Z0-9+]", "", said)
-            if kind == "card" and not (_passes(value) or len(value) == 16 and value[0] in "3456"):
+        elif kind == "card":
+            cards, groups = _cards(text, start, end)
+            later = next((g for g in groups[1:] if len(_DIGITS.match(text, g)[0]) > 2), groups[-1])
+            if later == start:
+                later = end
+            if not cards:
+                at = later
                 continue
-            if kind == "iban" and _iban_rest(value) != 1:
+            if cards[0][0] > start and (other := _PATTERN.search(text, later, cards[0][0])):
+                at = other.start()
                 continue
-            if kind == "phone" and not 7 <= sum(c.isdigit() for c in value) <= 15:
+            at = cards[0][0]
+            for a, b in cards:
+                if a > at + 1:
+                    break
+                at = b
+                yield a, b, kind, re.sub("[ -]", "", text[a:b])
+            continue
+        else:
+            size = end - start
+            if kind == "iban":
+                size = _iban_end(said)
+            elif kind == "phone" and said[0] == "+":
+                size = max(0, _phone_end(text, start, end, stop) - start)
+            if not size:
+                at = start + 4 if kind == "iban" else _DIGITS.search(text, start).end()
                 continue
+            at = end = start + size
+            value = re.sub(r"[^A-Z0-9+]", "", text[start:end])
         yield start, end, kind, value
 
 
