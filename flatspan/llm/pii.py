@@ -41,6 +41,13 @@ _OTHER = ("Dr", "Prof")
 _TITLE = "|".join(sorted((*_MALE, *_FEMALE, *_OTHER), key=len, reverse=True))
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 
+_MORE = re.compile(rf"[ \xa0]({_NAME})")
+_WORD = re.compile(_NAME)
+#: Small words that begin a name or stand between its parts, and those that only follow one of them.
+_PARTICLES = frozenset("van von vom zu de del della di da dos das do du af av ten ter bin ibn al el y e фон де".split())
+_SECOND_PARTICLES = frozenset("der den dem la las los le und".split())
+_TITLES = frozenset((*_MALE, *_FEMALE, *_OTHER))
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _PATTERN = re.compile(
     "|".join(
@@ -54,7 +61,7 @@ _PATTERN = re.compile(
             r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w.-])[0-9]{3}(?P<dash>[.-])[0-9]{3}(?P=dash)[0-9]{4}(?![\w]))",
             r"(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))",
             r"(?P<card>(?<![\w-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|[0-9](?:[ -]?[0-9]){12,18})(?!\w))",
-            rf"(?:\b(?P<title>{_TITLE})\.?[ \xa0](?P<person>{_NAME}(?:[ \xa0]{_NAME}){{0,2}}))",
+            rf"(?:\b(?P<title>{_TITLE})\.?[ \xa0](?P<person>{_NAME}))",
         )
     )
 )
@@ -92,6 +99,23 @@ RUN_DIGITS, BEHIND = 48, 24
 _RUN = re.compile(rf"[0-9](?:[ -]?[0-9]){{0,{RUN_DIGITS - 1}}}")
 
 
+def _name_end(text: str, start: int, stop: int) -> int:
+    """The end of the name that starts there: words with a capital and particles before them, up to the first other word or title."""
+    end, particle, word = start, False, _WORD.match(text, start, stop)
+    while word:
+        said = word[word.lastindex or 0]
+        if said in _TITLES:
+            break
+        if any(part[:1].isupper() for part in re.split("['’-]", said)):
+            end, particle = word.end(), False
+        elif said in _PARTICLES or particle and said in _SECOND_PARTICLES:
+            particle = True
+        else:
+            break
+        word = _MORE.match(text, word.end(), stop)
+    return end
+
+
 def _iban_end(said: str) -> int:
     """How much of a match is an IBAN: as much as its country has signs, or else the most groups that pass; 0 if none do."""
     ends = [i for i in range(len(said), 11, -1) if i == len(said) or said[i] == " "]
@@ -160,13 +184,10 @@ def find(text: str, at: int = 0, stop: int | None = None) -> Iterator[tuple[int,
         said, (start, end) = m[kind], m.span(kind)
         at = m.end()
         if kind == "person":
-            # Only names with a capital are names; what follows them is looked at again.
-            names = re.split(r"[ \xa0]", said)
-            n = next((i for i, x in enumerate(names) if not x[0].isupper()), len(names))
-            said = said[: sum(map(len, names[:n])) + n - 1] if n else ""
-            at = end = start + len(said)
-            if not n:
+            at = end = _name_end(text, start, stop)
+            if end == start:
                 continue
+            said = text[start:end]
             title = m["title"]
             kind = "person/" + ("m" if title in _MALE else "f" if title in _FEMALE else "n")
             value = said.replace("\xa0", " ").casefold()

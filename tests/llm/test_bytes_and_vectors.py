@@ -339,3 +339,20 @@ def test_queries_have_all_operators():
 )
 def test_pii_inside_matches_that_fail(text, want):
     assert [text[a:b] for a, b, _, _ in pii.find(text)] == want
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Señor Juan Carlos García Márquez dijo", ["Juan Carlos García Márquez"]),
+        ("Herr Ludwig van Beethoven spielt", ["Ludwig van Beethoven"]),
+        ("Frau Anna Maria von der Leyen und andere", ["Anna Maria von der Leyen"]),
+        ("Herr van Gogh, Herr Dr. Weber und Frau Schmidt", ["van Gogh", "Weber", "Schmidt"]),
+        ("Mr Smith von dort", ["Smith"]),
+    ],
+)
+def test_names_of_any_length(spark, text, want):
+    found = [(a, b) for a, b, _, _ in pii.find(text)]
+    assert [text[a:b] for a, b in found] == want
+    out = pii.pseudonymise(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"]
+    assert not any(part in out for name in want for part in name.split() if part[0].isupper())
