@@ -41,6 +41,7 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-5, 1e-6
 FOLDS = 5
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
+_BLANK = re.compile(r"\s")
 _BLOCK = 1 << 20
 _BIAS = 0
 
@@ -54,7 +55,7 @@ class Hasher:
     def _look(self, word: str) -> int:
         if len(self.known) >= self.limit:
             self.known.clear()
-        signs = ["0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64]]
+        signs = ["0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word]
         shape = "".join(c for c, before in zip(signs, [""] + signs, strict=False) if c != before)
         code = zlib.crc32(word.encode("utf-8", "replace")) | zlib.crc32(b"\0" + shape.encode("utf-8", "replace")) << 32
         self.known[word] = code
@@ -62,20 +63,30 @@ class Hasher:
 
     def ngrams(self, text: str) -> np.ndarray:
         """The place of every n-gram of the text, repeats included; never the bias's."""
-        words = _TOKEN.findall(text)
+        return self.places(_TOKEN.findall(text))
+
+    def places(self, words: list[str], seen: int = 0) -> np.ndarray:
+        """The places of the n-grams of some words, of which the first ``seen`` only begin pairs."""
         known, look = self.known, self._look
         codes = np.array([known[w] if w in known else look(w) for w in words], np.uint64)
         word, shape = codes & np.uint64(0xFFFFFFFF), codes >> np.uint64(32)
         same = word[1:] == word[:-1]
         pair = np.where(same, np.uint64(7), word[1:] * np.uint64(0x9E3779B1) + word[:-1])
         shapes = (shape[1:] * np.uint64(0x85EBCA6B) + shape[:-1]) ^ np.uint64(0x5BD1E995)
-        every = np.concatenate([word, shape, pair, shapes]) * np.uint64(0x9E3779B97F4A7C15)
+        every = np.concatenate([word[seen:], shape[seen:], pair, shapes]) * np.uint64(0x9E3779B97F4A7C15)
         return (every >> np.uint64(20)) % np.uint64(DIMENSIONS - 1) + np.uint64(1)
 
     def blocks(self, text: str | None) -> Iterator[np.ndarray]:
-        text = text or ""
-        for at in range(0, len(text), _BLOCK):
-            yield self.ngrams(text[at : at + _BLOCK]).astype(np.int64)
+        """The places of a text, about ``_BLOCK`` signs of it at a time; no word is cut and no pair is lost."""
+        text, at, last = text or "", 0, []
+        while at < len(text):
+            end = at + _BLOCK
+            if end < len(text):
+                blank = _BLANK.search(text, end)
+                end = blank.start() if blank else len(text)
+            words = last + _TOKEN.findall(text, at, end)
+            yield self.places(words, len(last)).astype(np.int64)
+            last, at = words[-1:], end
 
 
 def mean_weight(blocks: Iterator[np.ndarray], weights: np.ndarray) -> float:

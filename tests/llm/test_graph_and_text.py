@@ -225,3 +225,12 @@ def test_pipeline_drops_similar_documents(spark):
     kept = corpus_pipeline.near_duplicates(spark, df, "")
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 3, 3]
     assert corpus_pipeline.near_duplicates(spark, df.where("doc_id < 0"), "").count() == 0
+
+
+def test_shapes_and_blocks_see_whole_words(monkeypatch):
+    hasher = quality.Hasher()
+    assert len(set(hasher.ngrams("a1" * 40 + "B" * 9)) & set(hasher.ngrams("a1" * 40 + "_" * 9))) == 0
+    text = "one two, three four five " * 20
+    whole = np.sort(hasher.ngrams(text))
+    monkeypatch.setattr(quality, "_BLOCK", 7)
+    assert (np.sort(np.concatenate(list(hasher.blocks(text)))) == whole).all()
