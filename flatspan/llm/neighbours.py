@@ -4,8 +4,9 @@ Copies are one vertex.  The first graph comes from random orders of the vectors
 neighbours are compared.  Each round compares, around every vertex whose list changed, its neighbours and some vertices that name
 it with one another, and keeps the best of each list.  A list that holds threshold links only is saturated and is enlarged; beyond
 ``MOST_NEIGHBOURS`` the components do the rest exactly: all members of a component are compared block by block, so only a
-component that the graph has not connected can lose links.  Recall is audited against brute force over a bounded sample
-of queries, and the search goes on with longer lists and new orders while it is below ``RECALL``.
+component that the graph has not connected can lose links.  Recall is audited against brute force over bounded samples of queries, of
+all vectors and of those with few links, as a mean over queries; the search goes on with longer lists and new orders while it is below
+``RECALL``, and fails after ``TRIES``.
 
 No list, group of copies or hub is gathered: lists are cut while they are merged, reverse neighbours are picked by minima, and
 components are dealt into blocks.  Every round is written to the shared folder.
@@ -40,6 +41,9 @@ PROGRESS = 0.001
 MEMBERS = 256
 #: Queries of the audit (a bounded sample) and the recall it asks for.
 AUDITED = 512
+AUDITED_SHORT = 2048
+#: Searches with new orders before a recall that stays too low is an error.
+TRIES = 12
 RECALL = 0.99
 SEED = 7
 
@@ -189,8 +193,12 @@ class Search:
         found = self.links().count()
         while True:
             self.merge(self.round())
-            now = self.links().count()
-            if now - found <= PROGRESS * now:
+            near = F.col("sim") >= self.threshold
+            lists = self.graph.groupBy("a").agg(F.count_if(near).alias("n"), F.count_if(near & F.col("new")).alias("more"), F.min("sim").alias("worst"))
+            short = F.col("worst") < self.threshold  # a list that holds all links it knows, as those outside of large components do
+            seen = lists.agg(F.sum("n"), F.count_if(short & (F.col("n") > 0)), F.count_if(short & (F.col("more") > 0))).collect()[0]
+            now, linked, changed = (x or 0 for x in seen)
+            if now - found <= PROGRESS * now and changed <= PROGRESS * linked:
                 return
             found = now
 
@@ -242,15 +250,19 @@ def component_links(points: DataFrame, labels: DataFrame, dtype: str, threshold:
 
 
 def audit(points: DataFrame, counts: DataFrame, dtype: str, threshold: float) -> float:
-    """The share of the links of at most ``AUDITED`` vertices, found by brute force, that ``counts`` (v, n_vertices) has."""
-    asked = points.orderBy(F.xxhash64(F.lit(SEED), "v")).limit(AUDITED).select("v", "vec")
-    rows = asked.collect()  # AUDITED vectors
+    """The recall of ``counts`` (v, n_vertices) by brute force for some vertices: the mean over those with links of the share that was found.
+    The lower one of at most ``AUDITED`` of all vertices and ``AUDITED_SHORT`` of those with few links."""
+    every = points.join(counts.select("v", "n_vertices"), "v", "left").select("v", "vec", F.coalesce("n_vertices", F.lit(0)).alias("found"))
+    some = lambda df, n: df.orderBy(F.xxhash64(F.lit(SEED), "v")).limit(n).collect()
+    rows = some(every, AUDITED)
+    cut = len(rows)
+    rows += some(every.where(F.col("found") <= NEIGHBOURS), AUDITED_SHORT)
     if not rows:
         return 1.0
-    queries = points.sparkSession.sparkContext.broadcast(b"".join(bytes(r["vec"]) for r in rows))
+    queries = points.sparkSession.sparkContext.broadcast([bytes(r["vec"]) for r in rows])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit = vectors_of(pa.array([queries.value[i : i + len(queries.value) // len(rows)] for i in range(0, len(queries.value), len(queries.value) // len(rows))]), dtype)
+        unit = vectors_of(pa.array(queries.value), dtype)
         total = np.zeros(len(unit), np.int64)
         for batch in (x for x in batches if x.num_rows):
             data = vectors_of(batch.column(0), dtype)
@@ -258,11 +270,11 @@ def audit(points: DataFrame, counts: DataFrame, dtype: str, threshold: float) ->
                 total += (unit @ data[at : at + 4096].T >= threshold).sum(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(unit))), pa.array(total)], names=["i", "n"])
 
-    there = points.select("vec").mapInArrow(compare, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
-    true = sum(r["n"] for r in there.collect()) - len(rows)  # without themselves
-    ids = points.sparkSession.createDataFrame([(r["v"],) for r in rows], "v long")
-    found = counts.join(F.broadcast(ids), "v").agg(F.sum("n_vertices")).collect()[0][0] or 0
-    return found / true if true > 0 else 1.0
+    there = points.select("vec").mapInArrow(compare, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    true = {r["i"]: r["n"] - 1 for r in there}  # without themselves
+    shares = [(i, min(r["found"] / true[i], 1.0)) for i, r in enumerate(rows) if true.get(i, 0) > 0]
+    parts = [[x for i, x in shares if i < cut], [x for i, x in shares if i >= cut]]
+    return min((float(np.mean(p)) for p in parts if p), default=1.0)
 
 
 def vector_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -284,13 +296,16 @@ def vector_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     points = write_stage(classes.withColumn("v", F.monotonically_increasing_id()), "neighbours-points")
 
     search = Search(points.select("v", "vec"), dim, dtype, threshold)
-    while True:
+    for _ in range(TRIES):
         search.descend()
         labels = connected(search.links(), "neighbours")
         counts = write_stage(component_links(points.select("v", "vec", "n"), labels, dtype, threshold), "neighbours-counts")
-        if search.most >= MOST_NEIGHBOURS or audit(points, counts, dtype, threshold) >= recall:
+        reached = audit(points, counts, dtype, threshold)
+        if reached >= recall:
             break
-        search.most *= 2
+        search.most = min(2 * search.most, MOST_NEIGHBOURS)
+    else:
+        raise RuntimeError(f"the audited recall is {reached:.4f} after {TRIES} searches; {recall} is asked for")
     least = labels.join(points.withColumnRenamed("v", "vertex"), "vertex").groupBy("label").agg(F.min("first").alias("least"))
     least = write_stage(labels.join(write_stage(least, "neighbours-least"), "label").select(F.col("vertex").alias("v"), "least"), "neighbours-of")
     known = points.join(least, "v", "left").join(counts, "v", "left")

@@ -356,3 +356,35 @@ def test_names_of_any_length(spark, text, want):
     assert [text[a:b] for a, b in found] == want
     out = pii.pseudonymise(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"]
     assert not any(part in out for name in want for part in name.split() if part[0].isupper())
+
+
+def pairs_beside_a_hot_cluster(spark, pairs, hot):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((pairs, 24))
+    vectors = [c + rng.standard_normal(24) * 0.03 for c in centres for _ in range(2)]
+    vectors += [centres[0] * 0 + 1 + rng.standard_normal(24) * 0.03 for _ in range(hot)]
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+
+
+def test_audit_sees_isolated_pairs(spark):
+    df = pairs_beside_a_hot_cluster(spark, 300, 300)
+    pack = F.udf(lambda x: np.array(x).tobytes(), "binary")
+    points = df.select(F.col("vec_id").alias("v"), pack("embedding").alias("vec")).localCheckpoint()
+    counts = points.where("v >= 600").select("v", F.lit(299).cast("long").alias("n_vertices"))
+    assert neighbours.audit(points, counts, "<f8", 0.95) < 0.5
+    both = counts.union(points.where("v < 600").select("v", F.lit(1).cast("long")))
+    assert neighbours.audit(points, both, "<f8", 0.95) > 0.99
+
+
+def test_a_low_recall_is_never_returned(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "audit", lambda *_: 0.5)
+    monkeypatch.setattr(neighbours, "TRIES", 1)
+    monkeypatch.setattr(neighbours, "MOST_NEIGHBOURS", neighbours.NEIGHBOURS)
+    with pytest.raises(RuntimeError, match="0.5000"):
+        neighbours.vector_links(pairs_beside_a_hot_cluster(spark, 20, 20))
+
+
+def test_isolated_pairs_beside_a_hot_cluster(spark):
+    found = neighbours.vector_links(pairs_beside_a_hot_cluster(spark, 2000, 1500)).where("vec_id < 4000")
+    right = sum(r["n_links"] == 1 and r["component_id"] == r["vec_id"] // 2 * 2 for r in found.collect())
+    assert right >= 0.99 * 4000
