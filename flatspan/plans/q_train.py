@@ -1,6 +1,6 @@
 """Queries that train models, and the stability summaries.
 
-The grids of the searches here are small, so that a query takes seconds; the library's defaults are the full ones.  Search
+The searches are the library's full ones (``train.Config``), so a query takes hours on one machine.  Search
 results have no SQL twin; models with a closed answer have one, and the stability summaries are also run over rules, which have one too.
 """
 
@@ -17,15 +17,7 @@ from flatspan.plans.marts import SCORED_CTE
 from flatspan.plans.q_features import PROTECTED, feature_input
 from flatspan.plans.q_split import RULES
 
-CONFIG = train.Config(
-    grids={
-        "logistic_regression": {"C": [1], "max_iter": [1000]},
-        "random_forest": {"trees": [5], "depth": [4, 5]},
-        "gradient_boosting": {"iterations": [3], "rate": [0.1]},
-    },
-    nested=False,
-    parallelism=6,
-)
+CONFIG = train.Config(parallelism=6)
 
 
 def training_frame(spark, sf):
@@ -57,20 +49,13 @@ def result(spark, sf, kind: str = "binary") -> train.Result:
             _results[key] = train.train(training_frame(spark, sf), "is_late", "o_orderkey", "o_custkey", CONFIG)
         elif kind == "regression":
             frame = training_frame(spark, sf).drop("is_late", "total_freight")
-            _results[key] = train.train(frame, "total_price", "o_orderkey", config=regression_config())
+            _results[key] = train.train(frame, "total_price", "o_orderkey", config=CONFIG)
         else:
             vectors = table(spark, sf, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
-            grids = {"logistic_regression": {"C": [1], "max_iter": [15]}, "random_forest": {"trees": [5], "depth": [5]}}
-            config = train.Config(grids=grids, nested=False, parallelism=6)
-            _results[key] = train.train(vectors, "label", "vec_id", config=config)
+            _results[key] = train.train(vectors, "label", "vec_id", config=CONFIG)
     return _results[key]
 
 
-def regression_config():
-    grids = {"linear_regression": {}, "random_forest": {"trees": [5], "depth": [4]}, "gradient_boosting": {"iterations": [3], "rate": [0.1]}}
-    return train.Config(grids=grids, nested=False, parallelism=6)
-
-
 def _metric_rows(spark, r):
     rows = [(r.task, r.best, k, float(v)) for k, v in sorted(r.metrics.items())]
     return spark.createDataFrame(rows, "task_type string, model string, metric string, value double")
@@ -114,8 +99,7 @@ def _(spark, sf):
 @query("nested_cv")
 def _(spark, sf):
     r = result(spark, sf)
-    small = {"logistic_regression": {"C": [0.1, 1], "max_iter": [8]}, "random_forest": {"trees": [3], "depth": [3, 4]}, "gradient_boosting": {"iterations": [2], "rate": [0.1, 0.2]}}
-    score, std = train.nested_cv(r.prepared, r.best, train.Config(folds=2, grids=small, parallelism=4), outer=2) or (None, None)
+    score, std = train.nested_cv(r.prepared, r.best, CONFIG) or (None, None)
     return spark.createDataFrame([(r.best, score, std)], "model string, nested_cv_score double, nested_cv_std double")
 
 
@@ -133,8 +117,7 @@ def _(spark, sf):
 
 @query("robustness_run")
 def _(spark, sf):
-    small = train.Config(folds=3, grids={"random_forest": {"trees": [5], "depth": [4]}}, importance_repeats=2, parallelism=2)
-    runs = train.run_seeds(training_frame(spark, sf), "is_late", "o_orderkey", "o_custkey", (42, 7), small)
+    runs = train.run_seeds(training_frame(spark, sf), "is_late", "o_orderkey", "o_custkey", config=CONFIG)
     return train.metric_stability(runs.metrics)
 
 

@@ -141,3 +141,27 @@ def test_placed_rows(spark):
     out = placed_rows(spark.range(500).repartition(7), "id", 3).collect()
     assert sorted(r["at"] for r in out) == list(range(500)) and [r["id"] for r in sorted(out, key=lambda r: r["at"])] != list(range(500))
     assert placed_rows(spark.range(0), "id").count() == 0
+
+
+def test_registered_searches_are_the_full_ones(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from flatspan.plans import base, catalog, marts, q_jobs, q_train  # noqa: F401
+
+    seen = {}
+    frame = spark.createDataFrame([(1, [0.0] * 64, 0)], "vec_id long, embedding array<double>, label int")
+    done = SimpleNamespace(prepared=None, best="random_forest", metrics=frame)
+    monkeypatch.setattr(q_train, "training_frame", lambda *_: frame)
+    monkeypatch.setattr(q_train, "table", lambda *_: frame)
+    monkeypatch.setattr(q_train, "_results", {})
+    monkeypatch.setattr(train, "train", lambda df, target, *a, **k: seen.setdefault(target, next(x for x in (*a, *k.values()) if isinstance(x, train.Config))) and done)
+    monkeypatch.setattr(train, "nested_cv", lambda p, name, config, outer=train.OUTER_FOLDS: seen.update(nested=config, outer=outer))
+    monkeypatch.setattr(train, "run_seeds", lambda *a, seeds=train.SEEDS, config=None: seen.update(seeds=seeds, robustness=config) or done)
+    monkeypatch.setattr(train, "metric_stability", lambda x: x)
+    for kind in ("binary", "regression", "multiclass"):
+        q_train.result(spark, "", kind)
+    base.QUERIES["nested_cv"](spark, "")
+    base.QUERIES["robustness_run"](spark, "")
+    assert (seen.pop("outer"), seen.pop("seeds")) == (train.OUTER_FOLDS, train.SEEDS)
+    assert set(seen) == {"is_late", "total_price", "label", "nested", "robustness"}
+    assert all(replace(c, parallelism=2) == train.Config() for c in (*seen.values(), q_jobs.CONFIG))
