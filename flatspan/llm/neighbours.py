@@ -2,14 +2,15 @@
 
 Copies are one vertex.  The first graph comes from random orders of the vectors (by the signs of random projections), where blocks of
 neighbours are compared.  Each round compares, around every vertex whose list changed, its neighbours and some vertices that name
-it with one another, and keeps the best of each list.  A list that holds threshold links only is saturated and is enlarged; beyond
-``MOST_NEIGHBOURS`` the components do the rest exactly: all members of a component are compared block by block, so only a
-component that the graph has not connected can lose links.  Recall is audited against brute force over bounded samples of queries, of
-all vectors and of those with few links, as a mean over queries; the search goes on with longer lists and new orders while it is below
+it with one another, and keeps the best of each list.  A list that holds threshold links only is saturated and is enlarged; its length
+never falls again, so the links of the graph only grow.  Links are counted from the threshold edges of the graph; only where a list is
+still saturated at ``MOST_NEIGHBOURS``, all members of its component are compared, block by block.  A descent ends when a round finds
+next to nothing or after ``ROUNDS`` rounds; then recall is audited against brute force over bounded samples of queries, of
+all vectors and of those with few links, as a mean over queries.  The search goes on with longer lists and new orders while it is below
 ``RECALL``, and fails after ``TRIES``.
 
-No list, group of copies or hub is gathered: lists are cut while they are merged, reverse neighbours are picked by minima, and
-components are dealt into blocks.  Every round is written to the shared folder.
+No list, group of copies or hub is gathered: lists are ranked and cut in each task before they are shuffled, reverse neighbours are
+picked by minima, and components are dealt into blocks.  Every round is written to the shared folder.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite numbers links with nothing and is its own component; shorter
 vectors count as padded with zeros; equal vectors are linked, whatever their ids; a null vec_id is counted as a link, but is
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,10 +36,11 @@ MOST_NEIGHBOURS = 64
 #: Random orders of a search, and the vectors of a block there.
 ORDERS = 4
 BLOCK = 64
-#: A round that finds fewer new links than this share ends the search.
+#: A round that finds fewer new links than this share ends a descent, as does the last of so many rounds.
 PROGRESS = 0.001
+ROUNDS = 24
 #: Vectors of a block of a component.
-MEMBERS = 256
+MEMBERS = 1024
 #: Queries of the audit (a bounded sample) and the recall it asks for.
 AUDITED = 512
 AUDITED_SHORT = 2048
@@ -135,25 +137,29 @@ class Search:
         return dealt.mapInArrow(lambda x: compare(_blocks(x)), LINKS)
 
     def merge(self, links: DataFrame) -> None:
-        """Take links into the lists; each list keeps its best, the longer of ``most`` and, where it is saturated, twice its length."""
+        """Take links into the lists, of which each keeps as many as its ``room``: ``most``, doubled whenever the list is saturated."""
         old = self.graph
         every = links if old is None else links.union(old.select("a", "b", "sim"))
         best = every.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-        lists = best.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("sim", "b")), asc=False).alias("l"))
+        rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
+        lists = best.withColumn("rank", rank).where(F.col("rank") <= MOST_NEIGHBOURS)  # each task keeps so many before the shuffle
         if old is None:
-            lists = lists.withColumn("keep", F.lit(self.most))
-        else:
-            was = old.groupBy("a").agg(F.count("*").alias("had"), F.min("sim").alias("worst"))
-            full = (F.col("had") >= self.most) & (F.col("worst") >= self.threshold)
-            keep = F.when(full, F.least(2 * F.col("had"), F.lit(MOST_NEIGHBOURS))).otherwise(self.most)
-            lists = lists.join(was, "a", "left").withColumn("keep", F.greatest(F.coalesce(keep, F.lit(self.most)), F.lit(self.most)).cast("int"))
-        rows = lists.select("a", F.explode(F.slice("l", 1, F.col("keep"))).alias("x")).select("a", "x.b", "x.sim")
-        if old is None:
-            rows = rows.withColumn("new", F.lit(True))
+            rows = lists.withColumns({"room": F.lit(self.most), "new": F.lit(True)})
         else:
+            room = self.rooms().select("a", F.when(self.saturated(), F.least(2 * F.col("room"), F.lit(MOST_NEIGHBOURS))).otherwise(F.col("room")).alias("room"))
             known = old.select("a", "b", F.lit(False).alias("known"))
-            rows = rows.join(known, ["a", "b"], "left").select("a", "b", "sim", F.coalesce("known", F.lit(True)).alias("new"))
-        self.graph = write_stage(rows, "neighbours-graph")
+            rows = lists.join(known, ["a", "b"], "left").withColumn("new", F.coalesce("known", F.lit(True)))
+            rows = rows.join(room, "a", "left").withColumn("room", F.greatest(F.coalesce("room", F.lit(self.most)), F.lit(self.most)))
+        rows = rows.where(F.col("rank") <= F.col("room"))
+        self.graph = write_stage(rows.select("a", "b", "sim", "new", "room"), "neighbours-graph")
+
+    def rooms(self) -> DataFrame:
+        """(a, n, worst, room) of every list."""
+        return self.graph.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("worst"), F.max("room").alias("room"))
+
+    def saturated(self) -> Column:
+        """Whether a list of ``rooms`` is full of threshold links."""
+        return (F.col("n") >= F.col("room")) & (F.col("worst") >= self.threshold)
 
     def round(self) -> DataFrame:
         """Links among the neighbours of every vertex whose list has changed."""
@@ -163,9 +169,8 @@ class Search:
         back = graph.groupBy(F.col("b").alias("v"), slot.alias("slot")).agg(F.min("a").alias("m")).select("v", "m")
         ahead = graph.select(F.col("a").alias("v"), F.col("b").alias("m"))
         around = ahead.union(back).union(graph.select(F.col("a").alias("v"), F.col("a").alias("m"))).distinct().join(changed, "v", "left_semi")
-        worst = graph.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("worst"))
-        open_ = (F.col("n") < self.most) | ((F.col("worst") >= self.threshold) & (F.col("n") < MOST_NEIGHBOURS))
-        worst = worst.select(F.col("a").alias("m"), F.when(open_, -2.0).otherwise(F.col("worst")).alias("worst"))
+        open_ = (F.col("n") < F.col("room")) | (self.saturated() & (F.col("room") < MOST_NEIGHBOURS))
+        worst = self.rooms().select(F.col("a").alias("m"), F.when(open_, -2.0).otherwise(F.col("worst")).alias("worst"))
         known = write_stage(self.points.select(F.col("v").alias("m"), "vec").join(worst, "m", "left").na.fill({"worst": -2.0}), "neighbours-known")
         members = write_stage(around, "neighbours-around").join(known, "m").select("v", "m", "worst", "vec")
 
@@ -191,7 +196,7 @@ class Search:
         """Seed with new orders and go on until a round finds next to nothing."""
         self.merge(self.seeded())
         found = self.links().count()
-        while True:
+        for _ in range(ROUNDS):
             self.merge(self.round())
             near = F.col("sim") >= self.threshold
             lists = self.graph.groupBy("a").agg(F.count_if(near).alias("n"), F.count_if(near & F.col("new")).alias("more"), F.min("sim").alias("worst"))
@@ -216,6 +221,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array((t << 40) | number // BLOCK), *batch.columns[1:]], names=batch.schema.names)
 
 
+def link_counts(search: Search, points: DataFrame, labels: DataFrame) -> DataFrame:
+    """(v, n_vertices, n_rows): with how many vertices, and rows of those, each vertex is linked.  The threshold edges of the graph
+    are counted; a component with a list that is still saturated is compared whole.  ``points`` (v, vec, n), ``labels`` (vertex, label)."""
+    cut = search.rooms().where(search.saturated()).select(F.col("a").alias("vertex"))
+    whole = write_stage(labels.join(cut, "vertex", "left_semi").select("label").distinct(), "neighbours-whole")
+    edges = search.links().select("a", "b")
+    edges = edges.union(edges.select("b", "a")).distinct()  # one list may hold what the other's room has cut
+    edges = edges.join(points.select(F.col("v").alias("b"), "n"), "b")
+    counts = edges.groupBy(F.col("a").alias("v")).agg(F.count("*").alias("n_vertices"), F.sum("n").alias("n_rows"))
+    if whole.isEmpty():
+        return counts
+    inside = labels.join(whole, "label", "left_semi")
+    rest = counts.join(inside.select(F.col("vertex").alias("v")), "v", "left_anti")
+    return rest.unionByName(component_links(points, inside, search.dtype, search.threshold))
+
+
 def component_links(points: DataFrame, labels: DataFrame, dtype: str, threshold: float) -> DataFrame:
     """(v, n_vertices, n_rows): with how many vertices of its component, and rows of those, each vertex is linked; all
     members are compared, block by block.  ``points`` (v, vec, n), ``labels`` (vertex, label)."""
@@ -299,7 +320,7 @@ def vector_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     for _ in range(TRIES):
         search.descend()
         labels = connected(search.links(), "neighbours")
-        counts = write_stage(component_links(points.select("v", "vec", "n"), labels, dtype, threshold), "neighbours-counts")
+        counts = write_stage(link_counts(search, points.select("v", "vec", "n"), labels), "neighbours-counts")
         reached = audit(points, counts, dtype, threshold)
         if reached >= recall:
             break
