@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,10 +47,6 @@ def feature_matrix(
     return features, dropped, notes
 
 
-def assemble(df: DataFrame, features: list[str], output: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol=output, handleInvalid="keep").transform(df)
-
-
 # --- splits -----------------------------------------------------------------------------------
 
 
@@ -60,9 +55,7 @@ def split_rows(
 ) -> DataFrame:
     """Adds ``is_test``: the first round(test_size * n) rows of each class in hash order (of all
     rows when no label is given)."""
-    hashed = df.withColumn("_h", seeded_hash(seed, id_col))
-    cuts = hash_cutoffs(hashed, "_h", lambda n: [F.round(n * test_size).cast("long")], label)
-    return hashed.withColumn("is_test", cutoff_position(F.col("_h"), cuts, label) == 0).drop("_h")
+    return df.withColumn("is_test", test_rows(df, id_col, test_size, seed, label))
 
 
 def split_groups(df: DataFrame, group_col: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -71,9 +64,18 @@ def split_groups(df: DataFrame, group_col: str, test_size: float = 0.2, seed: in
     The cut-off is found on the distinct groups; rows are then compared with it one by one, so a
     group may be as large as it likes.
     """
-    groups = df.select(F.col(group_col)).distinct().withColumn("_h", seeded_hash(seed, group_col))
-    cuts = hash_cutoffs(groups, "_h", lambda n: [F.ceil(n * test_size).cast("long")])
-    return df.withColumn("is_test", cutoff_position(seeded_hash(seed, group_col), cuts) == 0)
+    return df.withColumn("is_test", test_rows(df, group_col, test_size, seed, groups=True))
+
+
+def test_rows(df: DataFrame, key: str, test_size: float, seed: int, label: str | None = None, groups: bool = False) -> Column:
+    """Whether a row is tested: by the hash of its id, per class, or of its group.  The cut-offs come from ``df``; the expression
+    is a comparison with literals."""
+    if groups:
+        df = df.select(F.col(key)).distinct()
+    share = (lambda n: F.ceil(n * test_size)) if groups else (lambda n: F.round(n * test_size))
+    hashed = df.withColumn("_h", seeded_hash(seed, key))
+    cuts = hash_cutoffs(hashed, "_h", lambda n: [share(n).cast("long")], label)
+    return cutoff_position(seeded_hash(seed, key), cuts, label) == 0 if cuts else F.lit(False)
 
 
 def group_overlap(df: DataFrame, group_col: str) -> DataFrame:
@@ -90,11 +92,16 @@ def assign_folds(
     df: DataFrame, id_col: str, n_folds: int = 5, label: str | None = None, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
     """Adds the fold number: equal slices of each class (or of all rows) in hash order."""
+    return df.withColumn(name, fold_number(df, id_col, n_folds, label, seed))
+
+
+def fold_number(df: DataFrame, id_col: str, n_folds: int = 5, label: str | None = None, seed: int = 42) -> Column:
+    """The fold of a row, from cut-offs over the rows of ``df``."""
     hashed = df.withColumn("_h", seeded_hash(seed, id_col))
     cuts = hash_cutoffs(
         hashed, "_h", lambda n: [F.ceil(n * F.lit(j) / n_folds).cast("long") for j in range(1, n_folds)], label
     )
-    return hashed.withColumn(name, cutoff_position(F.col("_h"), cuts, label)).drop("_h")
+    return cutoff_position(seeded_hash(seed, id_col), cuts, label) if cuts else F.lit(0)
 
 
 # --- class weights ----------------------------------------------------------------------------
@@ -102,25 +109,6 @@ def assign_folds(
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """label, n, weight = rows / (classes * rows of the class); rows without a label do not count."""
-    from pyspark.sql import Window
-
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy(F.lit(0))  # one row per class
-    return counts.withColumn(
-        "weight", F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))
-    )
-
-
-def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Adds the balanced weight; the classes of a target are few, so they are literals."""
-    rows = class_weights(df, label).limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{label!r} has more than 1000 classes")
-    weight = F.lit(None).cast("double")
-    for r in rows:
-        weight = F.when(F.col(label) == F.lit(r[label]), F.lit(r["weight"])).otherwise(weight)
-    return df.withColumn(name, weight)
-
-
-def label_double(df: DataFrame, label: str, name: str = "label") -> DataFrame:
-    return df.withColumn(name, as_double(label))
+    total, classes = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return counts.withColumn("weight", F.lit(float(total or 0)) / (F.lit(classes) * F.col("n")))

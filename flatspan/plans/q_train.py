@@ -17,7 +17,7 @@ from flatspan.plans.marts import SCORED_CTE
 from flatspan.plans.q_features import PROTECTED, feature_input
 from flatspan.plans.q_split import RULES
 
-CONFIG = train.Config(parallelism=6)
+CONFIG = train.Config()
 
 
 def training_frame(spark, sf):
@@ -37,8 +37,7 @@ _results: dict[tuple[str, str, str], train.Result] = {}
 def forget() -> None:
     """Let go of all trained models."""
     for r in _results.values():
-        r.prepared.train.unpersist()
-        r.prepared.test.unpersist()
+        r.prepared.release()
     _results.clear()
 
 
@@ -133,7 +132,7 @@ def urgent_orders(spark, sf):
 
 
 def prepared(frame, task: str, labels: list) -> train.Prepared:
-    return train.Prepared(frame, frame.limit(0), ["x"], task, labels, "o_orderkey", 0, "row_random")
+    return train.Prepared(frame, ["x"], task, labels, "o_orderkey", "row_random")
 
 
 def fitted(spark, sf, name: str, params: dict, task: str, target: str, labels: list):
@@ -178,7 +177,7 @@ def _(spark, sf):
 
 @query("train_boosting_means", MEANS_SQL)
 def _(spark, sf):
-    out = fitted(spark, sf, "gradient_boosting", {"iterations": 1}, split.REGRESSION, "amount", [])
+    out = fitted(spark, sf, "gradient_boosting", {"iterations": 1, "rate": 1.0}, split.REGRESSION, "amount", [])
     return out.groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 3).alias("prediction"))
 
 

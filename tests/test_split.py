@@ -51,7 +51,6 @@ def test_folds(frame):
 
 def test_class_weights(frame):
     assert rows(split.class_weights(frame, "y")) == [(0, 2700, 3000 / 5400), (1, 300, 5.0)]
-    assert split.with_class_weight(frame, "y").agg(F.sum("weight")).first()[0] == pytest.approx(3000)
 
 
 def test_feature_matrix(spark):
