@@ -47,9 +47,9 @@ _BIAS = 0
 
 
 class Hasher:
-    """Hashed n-grams of texts.  Words are looked up in a table that is emptied when it is full."""
+    """Hashed n-grams of texts.  Words are looked up in a table that is emptied when it is full, and at the end of a task."""
 
-    def __init__(self, limit: int = 1 << 18) -> None:
+    def __init__(self, limit: int = 1 << 16) -> None:
         self.limit, self.known = limit, {}
 
     def _look(self, word: str) -> int:
@@ -89,11 +89,17 @@ class Hasher:
             last, at = words[-1:], end
 
 
+def release(hasher: Hasher) -> None:
+    """Give back what a task has held, as workers live on for other tasks."""
+    hasher.known.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def mean_weight(blocks: Iterator[np.ndarray], weights: np.ndarray) -> float:
     """The sparse dot product of a text's n-gram shares with the weights, and the bias."""
     total, n = 0.0, 0
     for places in blocks:
-        total += float(weights[places].sum())
+        total += float(weights[places].sum(dtype=np.float64))
         n += len(places)
     return float(weights[_BIAS]) + (SCALE * total / n if n else 0.0)
 
@@ -153,15 +159,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
             share = pa.array([s.astype(np.float64).tobytes() for _, s in found], pa.binary())
             names = ["doc_id", "label", "places", "shares"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), places, share], names=names)
+        release(hasher)
 
     rows = training_rows(docs, labels, train_rows).mapInArrow(count, "doc_id long, label int, places binary, shares binary")
     rows = write_stage(rows.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(PARTS)).cast("int")), "quality-rows")
-    state = np.zeros((2, DIMENSIONS))
+    state = np.zeros((2, DIMENSIONS), np.float32)
     for _ in range(ROUNDS):
         start = spark.sparkContext.broadcast(state)  # of fixed size
 
         def train(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            z, n = start.value.copy()
+            z, n = start.value.astype(np.float64)
             seen = 0
             for batch in batches:
                 data = []
@@ -170,16 +177,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
                 train_once(data, z, n)
                 seen += len(data)
             if seen:
-                yield pa.RecordBatch.from_pydict({"n": [seen], "state": [np.stack([z, n]).tobytes()]})
+                yield pa.RecordBatch.from_pydict({"n": [seen], "state": [np.stack([z, n]).astype(np.float32).tobytes()]})
 
         dealt = rows.repartition(PARTS, "part").sortWithinPartitions("part", F.xxhash64("doc_id"), "doc_id", "label")
         states = dealt.select("doc_id", "label", "places", "shares").mapInArrow(train, "n long, state binary").collect()  # PARTS rows of fixed size
         if not states:
             break
         total = sum(r["n"] for r in states)
-        state = sum(np.frombuffer(r["state"]).reshape(2, -1) * (r["n"] / total) for r in states)
+        state = sum(np.frombuffer(r["state"], np.float32).reshape(2, -1) * np.float32(r["n"] / total) for r in states)
         start.unpersist()
-    return weights_of(*state)
+    return weights_of(*state.astype(np.float64))
 
 
 def score(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
@@ -187,11 +194,12 @@ def score(docs: DataFrame, weights: np.ndarray, name: str) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, w = Hasher(), model.value.astype(np.float64)
+        hasher, w = Hasher(), model.value
         for batch in batches:
             raw = [mean_weight(hasher.blocks(x.as_py()), w) for x in batch.column(batch.schema.get_field_index("text"))]
             out = 1 / (1 + np.exp(-np.clip(np.array(raw), -35, 35)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, name])
+        release(hasher)
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
