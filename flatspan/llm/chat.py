@@ -8,6 +8,9 @@ A conversation may hold any share of all turns, so it is neither gathered nor ra
 ranked within their sorted partitions, and shifted by the sizes of the partitions before.  ``PART_TURNS`` successive turns make a
 part, which is rendered as one text; parts in order are the whole dialogue.
 
+No turn can forge another: ``<|`` in a text or a role is written as ``< |``, and line breaks in a role as blanks, so the marks around a
+turn are the only ones; the perspective itself is the role as it is.
+
 Defined results: equal turns (same conversation, number, role and text) are one turn; turns without a number come first, and ties go by role, then
 text; a null text is empty; a turn without role is rendered as a user without name and is no participant; a
 conversation without participants gives no rows; conversations without an id are one conversation; an empty table gives no rows.  Other
@@ -42,11 +45,16 @@ def ranked(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "role", "text", (F.col("start") + F.col("rank")).alias("place"))
 
 
+def escaped(text: Column) -> Column:
+    """A text without the signs that begin a mark."""
+    return F.replace(text, F.lit("<|"), F.lit("< |"))
+
+
 def turn_text(turn: Column, assistant: Column) -> Column:
     """A rendered turn, seen by ``assistant``."""
-    name = F.when(turn["role"].isNull(), "user").otherwise(F.concat(F.lit("user name="), turn["role"]))
+    name = F.when(turn["role"].isNull(), "user").otherwise(F.concat(F.lit("user name="), F.translate(escaped(turn["role"]), "\r\n", "  ")))
     who = F.when(turn["role"] == assistant, "assistant").when(turn["role"] == SYSTEM, SYSTEM).otherwise(name)
-    return F.concat(F.lit(START), who, F.lit("\n"), turn["text"], F.lit(END))
+    return F.concat(F.lit(START), who, F.lit("\n"), escaped(turn["text"]), F.lit(END))
 
 
 def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -80,7 +88,7 @@ s as (select distinct conv_id, role as perspective from r where role <> '{SYSTEM
 x as (
   select r.*, s.perspective, place // {PART_TURNS} as part,
     '{START}' || case when role = perspective then 'assistant' when role = '{SYSTEM}' then '{SYSTEM}'
-      when role is null then 'user' else 'user name=' || role end || chr(10) || text || '{END.rstrip()}' || chr(10) as line
+      when role is null then 'user' else 'user name=' || translate(replace(role, '<|', '< |'), chr(13) || chr(10), '  ') end || chr(10) || replace(text, '<|', '< |') || '{END.rstrip()}' || chr(10) as line
   from r join s on r.conv_id is not distinct from s.conv_id),
 y as (select *, sum(length(line)) over (partition by conv_id, perspective, part order by place) as ends from x)
 select conv_id, perspective, cast(part as bigint) as part, count(*) as n_turns, string_agg(line, '' order by place) as text,
