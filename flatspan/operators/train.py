@@ -490,9 +490,7 @@ def permutation_importance(
 def calibrated_scores(p: Prepared, name: str, params: dict, config: Config = Config(), method: str | None = None) -> DataFrame:
     """Test rows with ``score`` averaged over the folds' calibrated models: each model is fitted without a fold and its calibrator on
     that fold."""
-    method = method or config.calibration
-    if method == "auto":
-        method = "isotonic" if p.n_train >= ISOTONIC_ROWS else "sigmoid"
+    method = method or calibration_method(p, config)
     fits = p.parts(CALIBRATION_FOLDS)
     test = p.test.select(p.id_col, "actual", "label", "features")
     parts = None
@@ -505,7 +503,14 @@ def calibrated_scores(p: Prepared, name: str, params: dict, config: Config = Con
         part = isotonic.apply(isotonic.fit(points), scored, "p", "score") if method == "isotonic" else sigmoid(points, scored)
         part = part.select(p.id_col, "actual", "label", "score")
         parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy(p.id_col).agg(F.first("actual").alias("actual"), F.first("label").alias("label"), F.avg("score").alias("score"))
+    mean = parts.groupBy(p.id_col).agg(F.first("actual").alias("actual"), F.first("label").alias("label"), F.avg("score").alias("score"))
+    return write_stage(mean, "calibrated")
+
+
+def calibration_method(p: Prepared, config: Config) -> str:
+    if config.calibration != "auto":
+        return config.calibration
+    return "isotonic" if p.n_train >= ISOTONIC_ROWS else "sigmoid"
 
 
 def sigmoid(points: DataFrame, scored: DataFrame) -> DataFrame:
@@ -540,10 +545,10 @@ def calibration_comparison(result: Result, config: Config = Config(), limit: flo
     raw = calibration_row(result.scored, "raw", None)
     if raw.first()["ece"] <= limit:
         return raw
-    method = config.calibration
-    if method == "auto":
-        method = "isotonic" if result.prepared.n_train >= ISOTONIC_ROWS else "sigmoid"
-    return raw.unionByName(calibration_row(calibrated_scores(result.prepared, result.best, result.params, config, method), "calibrated", method))
+    method = calibration_method(result.prepared, config)
+    same = limit == ECE_LIMIT and config == result.config and result.calibrated is not None
+    scores = result.calibrated if same else calibrated_scores(result.prepared, result.best, result.params, config, method)
+    return raw.unionByName(calibration_row(scores, "calibrated", method))
 
 
 # --- the whole run ----------------------------------------------------------------------------

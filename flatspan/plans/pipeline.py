@@ -114,6 +114,9 @@ class _Job:
             if "score" in r.scored.columns:
                 self._report(evaluate.threshold_sweep(r.scored, "label"), "thresholds")
                 self._report(evaluate.reliability_bins(r.scored, "label"), "calibration")
+                self._report(train.calibration_comparison(r, self.config), "calibration_errors")
+                if r.calibrated is not None:
+                    self._report(evaluate.reliability_bins(r.calibrated, "label"), "calibrated")
         self._report(segments, "segments")
         self.segment_names = names
         run_files.append_experiments(self._experiment(r), os.path.join(os.path.dirname(self.folder), "experiments"))
@@ -140,6 +143,7 @@ class _Job:
         importances = self.frames["importances"]
         made: dict[str, DataFrame | str] = {
             "distributions": charts.histogram(df, charts.histogram_columns(df, importances)),
+            "densities": charts.density_curve(df, charts.histogram_columns(df, importances)),
             "heatmap": charts.heatmap_cells(self.frames["correlation"]),
             "importance": charts.importance_bars(importances),
         }
@@ -151,8 +155,10 @@ class _Job:
             made["top_feature"] = "no numeric column among the top features"
         elif regression:
             made["top_feature"] = charts.trend_line(df, best, self.target)
+            made["top_feature_points"] = charts.scatter_points(df, best, self.target, self.id_col)
         else:
             made["top_feature"] = charts.box_by_class(df, best, self.target)
+        made.setdefault("top_feature_points", "classification run" if best and not regression else made["top_feature"])
         if regression:
             made["residuals"] = evaluate.prediction_points(r.scored, self.id_col)
             made["confusion"] = "regression run"
@@ -160,7 +166,7 @@ class _Job:
             made["confusion"] = charts.confusion_cells(self.frames["confusion"], self.positive, self.negative)
             made["residuals"] = "classification run"
         made["thresholds"] = charts.threshold_curve(self.frames["thresholds"]) if "thresholds" in self.frames else "no probabilities"
-        made["calibration"] = charts.calibration_curve(self.frames["calibration"]) if "calibration" in self.frames else "no probabilities"
+        made["calibration"] = charts.calibration_curve(self.frames["calibration"], self.frames.get("calibrated")) if "calibration" in self.frames else "no probabilities"
         segments = self.frames["segments"]
         metrics = [c.removeprefix("overall_") for c in segments.columns if c.startswith("overall_")]
         made["segments"] = charts.segment_bars(segments, self.segment_names, metrics)
