@@ -3,16 +3,19 @@
 A block holds some rows: their features, the bin of each feature, the label, and the values of the split columns that say which fits a
 row belongs to.  Many fits (folds, seeds, grid points) run side by side over the same blocks: a ``Fit`` names the rows it
 leaves out and the rows it is scored on, so one scan serves all of them.  Blocks are written to the shared folder once.
+
+Fits are many small jobs over the same blocks, whose partial sums are added along a tree; they are scanned as an RDD of blocks, as a
+job that has to be planned takes three to four times as long there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +42,6 @@ class Fit:
     held: tuple[str, int] | None = None
 
 
-@dataclass
-class Blocks:
-    frame: DataFrame
-    features: int
-    splits: list[str]
-    edges: list[np.ndarray]
-    n_classes: int  # 0 for numbers
-    n_rows: int
-
-    def release(self) -> None:
-        self.frame.unpersist()
-
-
 @dataclass
 class Block:
     """One block, unpacked."""
@@ -73,14 +63,44 @@ class Block:
         return self.splits[fit.held[0]] == fit.held[1] if fit.held else np.zeros(self.n, bool)
 
 
-def unpack(batches: Iterator[pa.RecordBatch], features: int, splits: list[str]) -> Iterator[tuple[Block, pa.RecordBatch]]:
-    """Every block of some batches, with its row of the batch."""
+@dataclass
+class Blocks:
+    """``frame`` (``COLUMNS``) holds the blocks as they are written, ``rdd`` unpacked."""
+
+    frame: DataFrame
+    rdd: RDD
+    features: int
+    splits: list[str]
+    edges: list[np.ndarray]
+    n_classes: int  # 0 for numbers
+    n_rows: int
+
+    def release(self) -> None:
+        self.rdd.unpersist()
+
+
+def unpack(block: int, n: int, data: list, features: int, splits: list[str]) -> Block:
+    x, bins, y, by = (np.frombuffer(v, t) for v, t in zip(data, ("<f8", "u1", "<f8", "<i2"), strict=True))
+    values = dict(zip(splits, by.reshape(len(splits), n), strict=True)) if splits else {}
+    return Block(block, n, x.reshape(n, features), bins.reshape(features, n), y, values)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], features: int, splits: list[str]) -> Iterator[Block]:
+    """Every block of some batches of ``COLUMNS``."""
     for batch in batches:
         for i in range(batch.num_rows):
-            block, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            x, bins, y, by = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in ((2, "<f8"), (3, "u1"), (4, "<f8"), (5, "<i2")))
-            values = dict(zip(splits, by.reshape(len(splits), n), strict=True)) if splits else {}
-            yield Block(block, n, x.reshape(n, features), bins.reshape(features, n), y, values), batch.slice(i, 1)
+            yield unpack(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), [batch.column(c)[i].as_buffer() for c in range(2, 6)], features, splits)
+
+
+def add(a: list | None, b: list | None) -> list | None:
+    if a is None or b is None:
+        return b if a is None else a
+    return [x + y for x, y in zip(a, b, strict=True)]
+
+
+def sum_over(rdd: RDD, visit: Callable[[Iterable], list[np.ndarray] | None]) -> list[np.ndarray] | None:
+    """The sums of what ``visit`` makes of the blocks of each task, added along a tree; None without blocks."""
+    return rdd.mapPartitions(lambda it: [visit(it)]).treeAggregate(None, add, add)
 
 
 def bin_edges(frame: DataFrame, features: int) -> list[np.ndarray]:
@@ -124,8 +144,9 @@ def make_blocks(frame: DataFrame, id_col: str, splits: list[str], n_classes: int
                     names=[c.split()[0] for c in COLUMNS.split(", ")],
                 )
 
-    blocks = write_stage(rows.mapInArrow(pack, COLUMNS), "blocks").persist(StorageLevel.MEMORY_AND_DISK)
-    return Blocks(blocks, features, splits, edges, n_classes, n_rows)
+    blocks = write_stage(rows.mapInArrow(pack, COLUMNS), "blocks")
+    rdd = blocks.rdd.map(lambda r: unpack(r[0], r[1], r[2:], features, splits)).persist(StorageLevel.MEMORY_AND_DISK)
+    return Blocks(blocks, rdd, features, splits, edges, n_classes, n_rows)
 
 
 def add_up(parts: DataFrame) -> DataFrame:
@@ -154,19 +175,17 @@ def keyed(keys: list[int], sums: list[np.ndarray]) -> pa.RecordBatch:
 
 def class_counts(blocks: Blocks, fits: list[Fit]) -> np.ndarray:
     """Rows of each class (one for numbers) that each fit is made on: fits x classes."""
-    k, splits, features = max(blocks.n_classes, 1), blocks.splits, blocks.features
+    k, classify = max(blocks.n_classes, 1), blocks.n_classes > 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visit(task: Iterable[Block]) -> list[np.ndarray]:
         total = np.zeros((len(fits), k))
-        for b, _ in unpack(batches, features, splits):
-            label = b.y.astype(int) if blocks_classes else np.zeros(b.n, int)
+        for b in task:
+            label = b.y.astype(int) if classify else np.zeros(b.n, int)
             for m, fit in enumerate(fits):
                 total[m] += np.bincount(label[b.member(fit)], minlength=k)
-        yield keyed([0], [total])
+        return [total]
 
-    blocks_classes = blocks.n_classes
-    rows = add_up(blocks.frame.mapInArrow(run, "key int, sums binary")).collect()  # one row
-    return sum((np.frombuffer(r["sums"]).reshape(len(fits), k) for r in rows), np.zeros((len(fits), k)))
+    return (sum_over(blocks.rdd, visit) or [np.zeros((len(fits), k))])[0]
 
 
 def balanced(counts: np.ndarray, n_classes: int) -> np.ndarray:

@@ -4,29 +4,25 @@ A round grows one tree for each fit and each output (one for numbers and for two
 these trees is one aggregate over the blocks: sums of gradients, hessians and rows for every node, feature and bin.  Only the
 smaller child of a split is summed; its sibling is the parent less it.  Folds, seeds and learning rates are further fits, so
 their number changes the size of the sums and not the number of jobs.  A fit of 200 rounds holds the one of 100 as its first 100 trees: it is
-scored on the way.  Raw scores are written with the blocks every ``CHECKPOINT`` rounds; later trees are added to them where rows are scanned.
+scored on the way.  Raw scores are kept with the bins of the blocks after each round, and written every ``CHECKPOINT`` rounds, so that what a
+lost executor held is worked out again from at most that many.
 
 What reaches the driver is bounded by fits, nodes, features and bins, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark import RDD, StorageLevel
 
-from flatspan.operators.blocks import BINS, COLUMNS, Block, Blocks, Fit, add_up, balanced, class_counts, keyed, unpack
-from flatspan.session import write_stage
+from flatspan.operators.blocks import BINS, Block, Blocks, Fit, balanced, class_counts, sum_over
+from flatspan.session import new_stage_path
 
 DEPTH, MIN_ROWS, MIN_HESSIAN = 5, 20, 1e-3
 CHECKPOINT = 10
-#: Nodes whose sums are one row of the aggregate.
-CHUNK = 16
 LEFT = 255  # the cut of a node that sends all rows left
 
 
@@ -39,9 +35,6 @@ class Trees:
     cut: list[np.ndarray] = field(default_factory=list)
     value: list[np.ndarray] = field(default_factory=list)
 
-    def since(self, start: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        return list(zip(self.feature[start:], self.cut[start:], self.value[start:], strict=True))
-
 
 def descend(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
     """The node (heap place) of every row (columns of ``bins``) in every tree after some levels: trees x rows."""
@@ -52,13 +45,6 @@ def descend(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int)
     return node
 
 
-def raw_scores(block: Block, start: np.ndarray, trees: list[tuple], depth: int) -> np.ndarray:
-    raw = start.copy()
-    for feature, cut, value in trees:
-        raw += np.take_along_axis(value, descend(block.bins, feature, cut, depth) - (2**depth - 1), 1)
-    return raw
-
-
 def gradients(raw: np.ndarray, y: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivatives of the loss by each output: squared error, logistic or softmax."""
     if n_classes == 0:
@@ -95,17 +81,21 @@ class Boosting:
         self.blocks, self.fits, self.depth, self.min_rows = blocks, fits, depth, min_rows
         self.outputs = blocks.n_classes if blocks.n_classes > 2 else 1
         self.rate = np.repeat(np.array(rates, float), self.outputs)
-        self.state, self.done = blocks.frame, 0  # blocks with the raw scores after ``done`` rounds
-        self.trees = Trees(np.zeros(len(self.rate)))
         counts = class_counts(blocks, fits)
         self.weights = balanced(counts, blocks.n_classes)
-        self.trees.base = self.first_scores(counts)
+        self.trees = Trees(self.first_scores(counts))
+        base = self.trees.base
+        slim = lambda b: Block(b.block, b.n, b.x[:, :0], b.bins, b.y, b.splits)
+        # Blocks with their raw scores after all rounds so far.
+        self.state = blocks.rdd.map(lambda b: (slim(b), np.repeat(base[:, None], b.n, axis=1))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.older: RDD | None = None
 
     def first_scores(self, counts: np.ndarray) -> np.ndarray:
         """The best constant of every output: the mean, or the logarithms of the weighted shares."""
         if self.blocks.n_classes == 0:
-            sums = self.aggregate(lambda fits, b, _: np.array([b.y[b.member(f)].sum() for f in fits]), 1)
-            return sums[0] / np.maximum(counts[:, 0], 1)
+            fits = self.fits
+            sums = sum_over(self.blocks.rdd, lambda task: [sum((np.array([b.y[b.member(f)].sum() for f in fits]) for b in task), np.zeros(len(fits)))])
+            return np.zeros(len(fits)) if sums is None else sums[0] / np.maximum(counts[:, 0], 1)
         share = counts * self.weights
         share = np.maximum(share / np.maximum(share.sum(axis=1, keepdims=True), 1), 1e-9)
         if self.blocks.n_classes == 2:
@@ -115,38 +105,19 @@ class Boosting:
 
     # --- scans over the blocks ---
 
-    def scan(self, visit, schema: str) -> DataFrame:
-        """``visit(task)``, a generator over (block, its raw scores) of a task, as a frame."""
-        later, base, depth = self.trees.since(self.done), self.trees.base, self.depth  # CHECKPOINT rounds at most
-        features, splits = self.blocks.features, self.blocks.splits
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def loaded():
-                for b, row in unpack(batches, features, splits):
-                    start = np.broadcast_to(base[:, None], (len(base), b.n))
-                    if row.num_columns > 6:
-                        start = np.frombuffer(row.column(6)[0].as_buffer()).reshape(len(base), b.n)
-                    yield b, raw_scores(b, start, later, depth), row
-
-            yield from visit(loaded())
-
-        return self.state.mapInArrow(run, schema)
-
-    def aggregate(self, of, keys: int) -> dict[int, np.ndarray]:
-        """Sums over all blocks of arrays: ``of(fits, block, raw)`` gives one (key 0) or a list of them."""
+    def aggregate(self, of) -> np.ndarray | None:
+        """The sum over all blocks of the array that ``of(fits, block, raw)`` gives: bounded by fits, nodes, features and bins."""
         fits = self.fits
 
-        def visit(task):
+        def visit(task: Iterable[tuple[Block, np.ndarray]]) -> list[np.ndarray] | None:
             total = None
-            for b, raw, _ in task:
+            for b, raw in task:
                 part = of(fits, b, raw)
-                part = part if isinstance(part, list) else [part]
-                total = part if total is None else [t + p for t, p in zip(total, part, strict=True)]
-            if total is not None:
-                yield keyed(list(range(len(total))), [np.ascontiguousarray(t, float) for t in total])
+                total = part if total is None else total + part
+            return None if total is None else [total]
 
-        rows = add_up(self.scan(visit, "key int, sums binary")).collect()  # bounded by fits, nodes, features and bins
-        return {r["key"]: np.frombuffer(r["sums"]) for r in rows}
+        found = sum_over(self.state, visit)
+        return None if found is None else found[0]
 
     # --- growing ---
 
@@ -154,31 +125,40 @@ class Boosting:
         """Go on until there are ``rounds`` trees for each output."""
         while len(self.trees.value) < rounds:
             self.one_round()
-            if len(self.trees.value) - self.done >= CHECKPOINT:
-                self.checkpoint()
+            self.add_last()
         return self.trees
 
-    def checkpoint(self) -> None:
-        def visit(task):
-            for _, raw, row in task:
-                columns = [*row.columns[:6], pa.array([np.ascontiguousarray(raw).tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*row.schema.names[:6], "raw"])
+    def add_last(self) -> None:
+        """Add the last trees to the raw scores; every ``CHECKPOINT`` rounds these are written, which cuts their lineage."""
+        feature, cut, value, depth = self.trees.feature[-1], self.trees.cut[-1], self.trees.value[-1], self.depth
+
+        def more(pair: tuple[Block, np.ndarray]) -> tuple[Block, np.ndarray]:
+            b, raw = pair
+            return b, raw + np.take_along_axis(value, descend(b.bins, feature, cut, depth) - (2**depth - 1), 1)
 
-        old = self.state
-        self.state = write_stage(self.scan(visit, f"{COLUMNS}, raw binary"), "boosting").persist(StorageLevel.MEMORY_AND_DISK)
-        self.done = len(self.trees.value)
-        if old is not self.blocks.frame:
-            old.unpersist()
+        self.forget()
+        self.older, self.state = self.state, self.state.map(more)
+        if len(self.trees.value) % CHECKPOINT == 0:
+            path = new_stage_path(self.blocks.frame.sparkSession, "boosting")
+            self.state.saveAsPickleFile(path, 1)
+            self.state = self.blocks.rdd.context.pickleFile(path, self.blocks.rdd.getNumPartitions())
+        self.state = self.state.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def forget(self) -> None:
+        """Let go of the raw scores before the last, once these are there."""
+        if self.older is not None:
+            self.older.unpersist()
+            self.older = None
 
     def release(self) -> None:
-        if self.state is not self.blocks.frame:
-            self.state.unpersist()
+        self.forget()
+        self.state.unpersist()
 
     def level_sums(self, feature: np.ndarray, cut: np.ndarray, level: int, place: np.ndarray, active: int) -> np.ndarray:
         """The sums of ``active`` nodes of a level; ``place`` (outputs x nodes of the level) has their numbers, or -1."""
         weights, outputs, k, d = self.weights, self.outputs, self.blocks.n_classes, self.blocks.features
 
-        def of(fits: list[Fit], b: Block, raw: np.ndarray) -> list[np.ndarray]:
+        def of(fits: list[Fit], b: Block, raw: np.ndarray) -> np.ndarray:
             label = b.y.astype(int) if k else np.zeros(b.n, int)
             w = np.repeat(np.stack([weights[m][label] * b.member(f) for m, f in enumerate(fits)]), outputs, axis=0)
             node = descend(b.bins, feature, cut, level) - (2**level - 1)
@@ -190,12 +170,10 @@ class Boosting:
             for f in range(d):
                 at = start + b.bins[f][r]
                 sums[f] = np.stack([np.bincount(at, v, active * BINS) for v in (g, h, None)], axis=1)
-            sums = sums.reshape(d, active, BINS, 3).transpose(1, 0, 2, 3)
-            return [sums[i : i + CHUNK] for i in range(0, active, CHUNK)]
+            return sums
 
-        parts = self.aggregate(of, -(-active // CHUNK))
-        whole = np.concatenate([parts[i] for i in range(len(parts))]) if parts else np.zeros(0)
-        return whole.reshape(-1, d, BINS, 3)
+        whole = self.aggregate(of)
+        return np.zeros((0, d, BINS, 3)) if whole is None else whole.reshape(d, active, BINS, 3).transpose(1, 0, 2, 3)
 
     def one_round(self) -> None:
         """A tree for each output of each fit, level by level."""
@@ -210,6 +188,8 @@ class Boosting:
             for i, (s, p) in enumerate(nodes):
                 place[s, p] = i
             sums = self.level_sums(feature, cut, level, place, len(nodes))
+            if level == 0:
+                self.forget()
             if not len(sums):
                 break
             if level:
@@ -254,7 +234,8 @@ class Boosting:
                 out[m] = np.bincount(b.y[held].astype(int) * k + predicted, minlength=k * k).reshape(k, k)
             return out
 
-        return self.aggregate(of, 1).get(0, np.zeros(len(self.fits) * k * k)).reshape(len(self.fits), k, k)
+        found = self.aggregate(of)
+        return np.zeros((len(self.fits), k, k)) if found is None else found
 
     def squared_errors(self) -> np.ndarray:
         """Fits x [rows, sum of squared errors] of the rows that each fit is scored on."""
@@ -263,7 +244,8 @@ class Boosting:
             held = [b.held(f) for f in fits]
             return np.array([[h.sum(), ((raw[m, h] - b.y[h]) ** 2).sum()] for m, h in enumerate(held)])
 
-        return self.aggregate(of, 1).get(0, np.zeros(2 * len(self.fits))).reshape(-1, 2)
+        found = self.aggregate(of)
+        return np.zeros((len(self.fits), 2)) if found is None else found
 
 
 def leaf_values(sums: np.ndarray, rate) -> np.ndarray:

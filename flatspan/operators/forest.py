@@ -9,14 +9,14 @@ in one place; where the trees themselves are asked for, they come back as arrays
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flatspan.operators.blocks import BINS, Blocks, Fit, add_up, balanced, class_counts, keyed, unpack
+from flatspan.operators.blocks import BINS, Block, Blocks, Fit, add_up, balanced, class_counts, keyed, sum_over, unpacked
 
 #: The deepest tree; a node of so many rows is grown by one task.
 MAX_DEPTH = 30
@@ -298,15 +298,15 @@ class Forest:
 
     def node_sums(self, nodes: list[tuple[int, int]], order: np.ndarray) -> np.ndarray:
         """Sums (nodes x tried features x bins x [outputs, weight, rows]) of some nodes."""
-        spec, fits, features, splits = self.spec, self.fits, self.blocks.features, self.blocks.splits
+        spec, fits = self.spec, self.fits
         tops, levels, weights, tried, c = self.tops, self.levels, self.weights, order.shape[1], self.spec.outputs + 1
         asked: dict[int, list[tuple[int, int]]] = {}
         for i, (s, node) in enumerate(nodes):
             asked.setdefault(s, []).append((node, i))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def visit(task: Iterable[Block]) -> list[np.ndarray]:
             total = np.zeros((len(nodes), tried, BINS, c + 1))
-            for b, _ in unpack(batches, features, splits):
+            for b in task:
                 plain = {m: added(b.y, b.member(fits[m]), weights[m], spec) for m in {s // spec.trees for s in asked}}
                 for s, mine in asked.items():
                     m, t = divmod(s, spec.trees)
@@ -320,13 +320,9 @@ class Forest:
                             at = b.bins[order[i, j], r]
                             for x in range(c + 1):
                                 total[i, j, :, x] += np.bincount(at, add[:, x], BINS)
-            yield keyed(list(range(len(nodes))), list(total))
+            return [total]
 
-        rows = add_up(self.blocks.frame.mapInArrow(run, "key int, sums binary")).collect()  # SUM_BYTES at most
-        out = np.zeros((len(nodes), tried * BINS * (c + 1)))
-        for r in rows:
-            out[r["key"]] = np.frombuffer(r["sums"])
-        return out.reshape(len(nodes), tried, BINS, c + 1)
+        return (sum_over(self.blocks.rdd, visit) or [np.zeros((len(nodes), tried, BINS, c + 1))])[0]  # SUM_BYTES at most
 
     # --- below the tops ---
 
@@ -336,7 +332,7 @@ class Forest:
         tops, levels = self.tops, self.levels
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b, _ in unpack(batches, features, splits):
+            for b in unpacked(batches, features, splits):
                 drawn = [draws(spec.seed, t, b.block, b.n) if spec.bootstrap else np.ones(b.n, np.int64) for t in range(spec.trees)]
                 for m, fit in enumerate(fits):
                     member, held = b.member(fit), b.held(fit) & with_held

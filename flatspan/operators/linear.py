@@ -9,12 +9,11 @@ What reaches the driver is bounded by fits, classes and features.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable
 
 import numpy as np
-import pyarrow as pa
 
-from flatspan.operators.blocks import Blocks, Fit, add_up, balanced, class_counts, keyed, unpack
+from flatspan.operators.blocks import Block, Blocks, Fit, balanced, class_counts, sum_over
 
 STEPS, TOLERANCE = 40, 1e-8
 #: Bytes of second derivatives that one scan brings back.
@@ -23,12 +22,11 @@ SUM_BYTES = 1 << 26
 
 def products(blocks: Blocks, values: list[tuple[str, int]]) -> tuple[np.ndarray, dict[tuple[str, int], np.ndarray]]:
     """Sums of the products of [1, x, y] by class, over all rows and over the rows of each value of a split column."""
-    k, p, splits, features = max(blocks.n_classes, 1), blocks.features + 2, blocks.splits, blocks.features
-    classes = blocks.n_classes
+    k, p, classes = max(blocks.n_classes, 1), blocks.features + 2, blocks.n_classes
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def visit(task: Iterable[Block]) -> list[np.ndarray]:
         total = np.zeros((len(values) + 1, k, p, p))
-        for b, _ in unpack(batches, features, splits):
+        for b in task:
             z = np.column_stack([np.ones(b.n), b.x, b.y])
             label = b.y.astype(int) if classes else np.zeros(b.n, int)
             for c in range(k):
@@ -37,12 +35,9 @@ def products(blocks: Blocks, values: list[tuple[str, int]]) -> tuple[np.ndarray,
                 for i, (column, value) in enumerate(values, 1):
                     some = z[of & (b.splits[column] == value)]
                     total[i, c] += some.T @ some
-        yield keyed(list(range(len(total))), list(total))
+        return [total]
 
-    rows = add_up(blocks.frame.mapInArrow(run, "key int, sums binary")).collect()  # one row a value
-    out = np.zeros((len(values) + 1, k, p, p))
-    for r in rows:
-        out[r["key"]] = np.frombuffer(r["sums"]).reshape(k, p, p)
+    out = (sum_over(blocks.rdd, visit) or [np.zeros((len(values) + 1, k, p, p))])[0]
     return out[0], dict(zip(values, out[1:], strict=True))
 
 
@@ -111,11 +106,11 @@ class Logistic:
     def derivatives(self, some: list[int], beta: np.ndarray) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Loss, gradient and second derivatives (without the penalty) of some points at ``beta``."""
         fits, weights, k, p = [self.fits[i] for i in some], self.weights[some], self.k, self.p
-        features, splits, here, size = self.blocks.features, self.blocks.splits, beta[some], self.k * self.p
+        here, size = beta[some], self.k * self.p
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def visit(task: Iterable[Block]) -> list[np.ndarray]:
             total = np.zeros((len(fits), 1 + size + size * size))
-            for b, _ in unpack(batches, features, splits):
+            for b in task:
                 label = b.y.astype(int)
                 z = np.column_stack([np.ones(b.n), b.x])
                 for i, f in enumerate(fits):
@@ -133,14 +128,10 @@ class Logistic:
                             second[a, :, o, :] += part
                             if o < a:
                                 second[o, :, a, :] += part
-            yield keyed(list(range(len(fits))), list(total))
+            return [total]
 
-        rows = add_up(self.blocks.frame.mapInArrow(run, "key int, sums binary")).collect()  # one row a point
-        out = [(0.0, np.zeros(size), np.zeros((size, size)))] * len(some)
-        for r in rows:
-            v = np.frombuffer(r["sums"])
-            out[r["key"]] = (v[0], v[1 : 1 + size], v[1 + size :].reshape(size, size))
-        return out
+        total = (sum_over(self.blocks.rdd, visit) or [np.zeros((len(fits), 1 + size + size * size))])[0]
+        return [(v[0], v[1 : 1 + size], v[1 + size :].reshape(size, size)) for v in total]
 
     def solve(self) -> None:
         """Newton steps of all points that have not settled, halved where the loss does not fall."""
@@ -182,19 +173,17 @@ class Logistic:
     def confusion(self) -> np.ndarray:
         """Points x actual x predicted class of the rows that each is scored on."""
         fits, beta, c = self.fits, self.beta, self.blocks.n_classes
-        features, splits = self.blocks.features, self.blocks.splits
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def visit(task: Iterable[Block]) -> list[np.ndarray]:
             total = np.zeros((len(fits), c, c))
-            for b, _ in unpack(batches, features, splits):
+            for b in task:
                 for i, f in enumerate(fits):
                     held = b.held(f)
                     predicted = chances(b.x[held], beta[i]).argmax(axis=1)
                     total[i] += np.bincount(b.y[held].astype(int) * c + predicted, minlength=c * c).reshape(c, c)
-            yield keyed([0], [total])
+            return [total]
 
-        rows = add_up(self.blocks.frame.mapInArrow(run, "key int, sums binary")).collect()  # one row
-        return sum((np.frombuffer(r["sums"]).reshape(len(fits), c, c) for r in rows), np.zeros((len(fits), c, c)))
+        return (sum_over(self.blocks.rdd, visit) or [np.zeros((len(fits), c, c))])[0]
 
 
 def step(hessian: np.ndarray, slope: np.ndarray, penalty: np.ndarray) -> np.ndarray:

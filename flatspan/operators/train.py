@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from flatspan.functions.schema import as_double, content_id
 from flatspan.functions.seeded import placed_rows
 from flatspan.operators import clean, evaluate, facts, isotonic, select, split
-from flatspan.operators.blocks import Blocks, Fit, make_blocks
+from flatspan.operators.blocks import Blocks, Fit, add_up, keyed, make_blocks
 from flatspan.operators.boost import Boosting
 from flatspan.operators.forest import MAX_DEPTH, Forest, Spec
 from flatspan.operators.linear import Logistic, linear_fits
@@ -218,14 +219,15 @@ def split_places(base: DataFrame, id_col: str, group_col: str | None, by: str |
     is_test = split.test_rows(base, group_col or id_col, config.test_size, config.seed, None if group_col else by, bool(group_col))
     inside = base.where(~is_test)
     fold = lambda df, n, seed: split.fold_number(df, id_col, n, by, seed)
-    places = {"test": is_test.cast("int"), "fold": F.when(~is_test, fold(inside, config.folds, config.seed))}
-    places["part"] = F.when(~is_test, fold(inside, CALIBRATION_FOLDS, config.seed))
-    if config.nested:
-        outer = fold(inside, config.outer_folds, config.seed + 1)
-        places["outer"] = F.when(~is_test, outer)
-        for k in range(config.outer_folds):
-            rest = ~is_test & (outer != k)
-            places[f"inner{k}"] = F.when(rest, fold(base.where(rest), config.folds, config.seed))
+    wanted = {"fold": (config.folds, config.seed), "part": (CALIBRATION_FOLDS, config.seed), **({"outer": (config.outer_folds, config.seed + 1)} if config.nested else {})}
+    places = {"test": is_test.cast("int")}
+    with ThreadPoolExecutor(4) as pool:  # each has jobs of its own, which are small
+        found = dict(zip(wanted, pool.map(lambda x: fold(inside, *x), wanted.values()), strict=True))
+        places.update({name: F.when(~is_test, number) for name, number in found.items()})
+        if config.nested:
+            rests = [~is_test & (found["outer"] != k) for k in range(config.outer_folds)]
+            inner = pool.map(lambda rest: fold(base.where(rest), config.folds, config.seed), rests)
+            places.update({f"inner{k}": F.when(rest, number) for k, (rest, number) in enumerate(zip(rests, inner, strict=True))})
     return {name: F.coalesce(place.cast("int"), F.lit(-1)) for name, place in places.items()}
 
 
@@ -257,8 +259,9 @@ def fold_score(counts: np.ndarray, n_classes: int) -> float:
     return round(float((2 * np.diag(counts)[there] / sides[there]).mean()), 6) if there.any() else float("nan")
 
 
-def fit_scores(blocks: Blocks, name: str, points: list[dict], fits: list[Fit], seed: int) -> np.ndarray:
-    """The score of every grid point (rows) in every fit (columns)."""
+def fit_scores(blocks: Blocks, name: str, points: list[dict], fits: list[Fit], seed: int, models: dict | None = None) -> np.ndarray:
+    """The score of every grid point (rows) in every fit (columns).  Models that come with the search are left in ``models``, by
+    point and fit: every fit of a boosted grid holds those of its points."""
     k, out = blocks.n_classes, np.full((len(points), len(fits)), np.nan)
     if name == "linear_regression":
         errors = linear_fits(blocks, fits)[1]
@@ -286,6 +289,8 @@ def fit_scores(blocks: Blocks, name: str, points: list[dict], fits: list[Fit], s
                 if p.get("iterations", 100) == rounds:
                     at = rates.index(p.get("rate", 0.1)) * len(fits)
                     out[i] = [fold_score(c, k) for c in counts[at : at + len(fits)]]
+                    if models is not None:
+                        models.update({(i, j): boosted_model(boosting, at + j, rounds) for j, f in enumerate(fits) if f.held is None})
         boosting.release()
     else:
         raise ValueError(f"no model named {name!r}")
@@ -304,17 +309,22 @@ def fitted_models(blocks: Blocks, name: str, params: dict, fits: list[Fit], seed
         return [FittedModel("forest", k, together(Forest(blocks, [f], spec).trees())) for f in fits]
     if name == "gradient_boosting":
         boosting = Boosting(blocks, fits, [params.get("rate", 0.1)] * len(fits))
-        trees = boosting.grow(params.get("iterations", 100))
+        boosting.grow(params.get("iterations", 100))
         boosting.release()
-        feature, cut, value = (np.stack(x) for x in (trees.feature, trees.cut, trees.value))
-        edges = np.full((max(blocks.features, 1), 256), np.inf)
-        for j, e in enumerate(blocks.edges):
-            edges[j, : len(e)] = e
-        threshold, n = edges[feature, cut], boosting.outputs
-        return [FittedModel("boosting", k, {"feature": feature[:, i : i + n], "threshold": threshold[:, i : i + n], "value": value[:, i : i + n], "base": trees.base[i : i + n]}) for i in range(0, n * len(fits), n)]
+        return [boosted_model(boosting, m, params.get("iterations", 100)) for m in range(len(fits))]
     raise ValueError(f"no model named {name!r}")
 
 
+def boosted_model(boosting: Boosting, fit: int, rounds: int) -> FittedModel:
+    """The first trees of a fit, with thresholds in place of bins."""
+    trees, blocks, mine = boosting.trees, boosting.blocks, slice(fit * boosting.outputs, (fit + 1) * boosting.outputs)
+    feature, cut, value = (np.stack([t[mine] for t in x[:rounds]]) for x in (trees.feature, trees.cut, trees.value))
+    edges = np.full((max(blocks.features, 1), 256), np.inf)
+    for j, e in enumerate(blocks.edges):
+        edges[j, : len(e)] = e
+    return FittedModel("boosting", blocks.n_classes, {"feature": feature, "threshold": edges[feature, cut], "value": value, "base": trees.base[mine]})
+
+
 def together(trees: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """The nodes of all trees in one table; ``roots`` are the places of the first ones."""
     starts = np.cumsum([0, *[len(t["feature"]) for t in trees]])
@@ -437,8 +447,6 @@ def permutation_importance(
     a seeded distance further on, round the end; distances are shorter than a range, so a range needs the next one only, and rows
     are shuffled once for all features and repeats.  Copies are scored where their rows are, a feature at a time.
     """
-    from flatspan.operators.blocks import add_up, keyed
-
     d, classify = len(p.features), bool(p.n_classes)
     spark = frame.sparkSession
     ranges = write_stage(row_ranges(frame, p, seed, RANGE_ROWS), "importance").persist(StorageLevel.MEMORY_AND_DISK)
@@ -575,29 +583,37 @@ def train_prepared(some: list[Prepared], config: Config) -> list[Result]:
     rows: list[list] = [[] for _ in some]
     found: list[dict] = [{} for _ in some]
     fits = [f for p in some for f in p.folds(config.folds)]
+    come: dict[str, dict] = {}
     for name in candidates(some[0].task):
         if name not in config.grids:
             continue
         points = grid_points(config.grids[name])
-        scores = fit_scores(blocks, name, points, fits, config.seed)
+        # The refits on all training rows are more fits of a boosted search.
+        whole = [p.whole for p in some] if name == "gradient_boosting" else []
+        scores = fit_scores(blocks, name, points, fits + whole, config.seed, come.setdefault(name, {}))
         for i in range(len(some)):
             mine = scores[:, i * config.folds : (i + 1) * config.folds]
             best = best_point(mine)
-            found[i][name] = points[best]
+            found[i][name] = best
             rows[i] += [(name, len(found[i]), k, s) for k, s in enumerate(mine[best].tolist()) if s == s]
             log.info("%s %s: %s", name, points[best], mine[best])
-    best = []
+    winners = []
     for i in range(len(some)):
         means = {name: float(np.mean([r[3] for r in rows[i] if r[0] == name] or [-np.inf])) for name in found[i]}
-        best.append(max(found[i], key=lambda n: round(means[n], 6)))  # the first of equal candidates stays
+        best = max(found[i], key=lambda n: round(means[n], 6))  # the first of equal candidates stays
+        winners.append((best, found[i][best]))
     models: dict[int, FittedModel] = {}
-    for choice in {(b, str(f[b])) for b, f in zip(best, found, strict=True)}:
-        mine = [i for i in range(len(some)) if (best[i], str(found[i][best[i]])) == choice]
-        models.update(zip(mine, fitted_models(blocks, choice[0], found[mine[0]][choice[0]], [some[i].whole for i in mine], config.seed), strict=True))
+    for name, point in set(winners):
+        mine, params = [i for i, w in enumerate(winners) if w == (name, point)], grid_points(config.grids[name])[point]
+        if come[name]:
+            models.update({i: come[name][point, len(fits) + i] for i in mine})
+        else:
+            models.update(zip(mine, fitted_models(blocks, name, params, [some[i].whole for i in mine], config.seed), strict=True))
     out = []
     for i, p in enumerate(some):
         per_fold = spark.createDataFrame(rows[i], "model string, candidate int, fold int, score double")
-        out.append(Result(p, best[i], found[i][best[i]], models[i], per_fold, replace(config, seed=p.seed)))
+        name, point = winners[i]
+        out.append(Result(p, name, grid_points(config.grids[name])[point], models[i], per_fold, replace(config, seed=p.seed)))
     return out
 
 
