@@ -23,6 +23,8 @@ MAX_DEPTH = 30
 LOCAL_ROWS = 4096
 #: Bytes of sums that one aggregate brings back.
 SUM_BYTES = 1 << 26
+#: Cells (node, feature, bin) that a task sums up at once.
+CELLS = 1 << 18
 #: Gains that differ by less than this share of a node's score are equal.
 NEAR = 1e-9
 #: Arrays of scores a task holds before it passes them on.
@@ -129,53 +131,59 @@ def grow_here(bins: np.ndarray, sums: np.ndarray, held: np.ndarray, spec: Spec,
 def split_nodes(bins, sums, rows, place, a: int, spec: Spec, tree: int, paths: np.ndarray, pure) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each of ``a`` nodes the gain (minus infinity: a leaf), the feature and the last bin that goes left.
 
-    Of the features in the node's order the first ``tried`` are looked at, and further ones until one splits."""
+    Of the features in the node's order the first ``tried`` are looked at, and the others where none of these splits."""
     d = bins.shape[0]
     best, by, where = np.full(a, -np.inf), np.zeros(a, np.int64), np.zeros(a, np.int64)
-    open_ = np.ones(a, bool) if pure is None else ~pure
+    open_ = spread(sums, rows, place, a) > 1e-12 if pure is None else ~pure  # a node whose rows are alike is a leaf
     order = feature_order(spec.seed, np.full(a, tree), paths, d)
-    for j in range(d):
-        if j >= spec.tried:
-            open_ &= best == -np.inf  # without a split so far
-        some = open_[place]
-        if not some.any():
-            break
-        r, p = rows[some], place[some]
-        key = p * 256 + bins[order[p, j], r]
-        by_key = np.argsort(key, kind="stable")
-        key, r = key[by_key], r[by_key]
-        node = key >> 8
-        run = sums[r].cumsum(axis=0)
-        ends = np.flatnonzero(np.r_[node[1:] != node[:-1], True])
-        before = np.zeros((a, run.shape[1]))
-        before[node[ends[1:]]] = run[ends[:-1]]
-        whole = np.zeros((a, run.shape[1]))
-        whole[node[ends]] = run[ends] - before[node[ends]]
-        at = np.flatnonzero((key[1:] != key[:-1]) & (node[1:] == node[:-1]))
-        if not len(at):
-            continue
-        n = node[at]
-        l = run[at] - before[n]
-        g = whole[n] - l
-        # Rounding must not make a split of rows that are all alike.
-        gain = score(l) + score(g) - score(whole[n])
-        gain = np.where((l[:, -1] > 0) & (g[:, -1] > 0), np.maximum(gain, 0.0), -np.inf)
-        first = np.flatnonzero(np.r_[True, n[1:] != n[:-1]])
-        top = np.maximum.reduceat(gain, first)
-        size = np.diff(np.r_[first, len(n)])
-        hit = np.flatnonzero(gain >= np.repeat(top - NEAR * score(whole[n[first]]), size))
-        hit = hit[np.r_[True, n[hit][1:] != n[hit][:-1]]]  # the first of the best of each node
-        who = n[hit]
-        better = gain[hit] > best[who] + NEAR * score(whole[who])
-        who, hit = who[better], hit[better]
-        best[who], by[who], where[who] = gain[hit], order[who, j], key[at[hit]] & 255
-    if pure is None:  # numbers: a node whose rows are equal is a leaf
-        best = np.where(spread(sums, rows, place, a) > 1e-12, best, -np.inf)
+    for features in (order[:, : spec.tried], order[:, spec.tried :]):
+        if features.shape[1]:
+            asked = np.flatnonzero(open_ & (best == -np.inf))
+            step = max(1, CELLS // (features.shape[1] * BINS))
+            for at in range(0, len(asked), step):
+                some = asked[at : at + step]
+                number = np.full(a, -1)
+                number[some] = np.arange(len(some))
+                here = number[place] >= 0
+                r, n = rows[here], number[place[here]]
+                best[some], by[some], where[some] = best_cut(bins, sums, r, n, features[some])
     return best, by, where
 
 
+def best_cut(bins: np.ndarray, sums: np.ndarray, rows: np.ndarray, node: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best split of nodes over their ``features`` (nodes x features), from sums by bin; ``node`` is the node of each of ``rows``."""
+    a, t = features.shape
+    key = ((node[:, None] * t + np.arange(t)) * BINS + bins[features[node], rows[:, None]]).ravel()
+    by_bin = np.empty((sums.shape[1], a, t, BINS))
+    for c in range(len(by_bin)):
+        by_bin[c] = np.bincount(key, np.repeat(sums[rows, c], t), a * t * BINS).reshape(a, t, BINS)
+    gain, near = gains(by_bin)
+    first = (gain >= near[:, None]).argmax(axis=1)  # the first of the best
+    j, cut = np.divmod(first, BINS)
+    return gain[np.arange(a), first], features[np.arange(a), j], cut
+
+
+def gains(by_bin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gain of every cut of nodes, from sums ([outputs, weight] x nodes x features x bins), and what counts as the best of a node;
+    minus infinity where a side is empty."""
+    left = by_bin.cumsum(axis=3)
+    whole = left[..., -1:]
+    right = whole - left
+    total = score(whole)
+    value = score(left)
+    value += score(right)
+    value -= total
+    least = 1e-9 * np.maximum(whole[-1], 1e-300)
+    flat = np.where((left[-1] > least) & (right[-1] > least), np.maximum(value, 0.0), -np.inf).reshape(by_bin.shape[1], -1)
+    return flat, flat.max(axis=1) - NEAR * total[:, 0, 0]
+
+
 def score(s: np.ndarray) -> np.ndarray:
-    return (s[..., :-1] ** 2).sum(axis=-1) / np.maximum(s[..., -1], 1e-300)
+    """Squares of the sums over the weight: what a split gains is the difference of these."""
+    out = s[0] * s[0]
+    for x in s[1:-1]:
+        out += x * x
+    return out / np.maximum(s[-1], 1e-300)
 
 
 def node_value(total: np.ndarray) -> np.ndarray:
@@ -285,15 +293,12 @@ class Forest:
         step = max(1, SUM_BYTES // max(1, order.shape[1] * BINS * (self.spec.outputs + 2) * 8))
         for at in range(0, len(nodes), step):
             some = order[at : at + step]
-            left = self.node_sums(nodes[at : at + step], some).cumsum(axis=2)
-            whole = left[:, :, -1:, :]
-            gain = score(left[..., :-1]) + score((whole - left)[..., :-1]) - score(whole[..., :-1])
-            good = (left[..., -1] > 0) & ((whole - left)[..., -1] > 0)
-            flat = np.where(good, gain, -np.inf).reshape(len(some), -1)
-            near = flat.max(axis=1) - NEAR * score(whole[:, 0, 0, :-1])
-            best = (flat >= near[:, None]).argmax(axis=1)  # the first of the best
+            sums = self.node_sums(nodes[at : at + step], some)
+            gain, near = gains(np.moveaxis(sums[..., :-1], 3, 0))
+            left = sums.cumsum(axis=2)
+            best = (gain >= near[:, None]).argmax(axis=1)  # the first of the best
             for i, (j, cut) in enumerate(zip(*np.divmod(best, BINS), strict=True)):
-                out.append((flat[i, best[i]], some[i, j], cut, left[i, j, cut], whole[i, 0, 0]))
+                out.append((gain[i, best[i]], some[i, j], cut, left[i, j, cut], left[i, 0, -1]))
         return out
 
     def node_sums(self, nodes: list[tuple[int, int]], order: np.ndarray) -> np.ndarray:
