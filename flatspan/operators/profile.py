@@ -7,15 +7,22 @@ exact at any size; results hold one row per column or column pair.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatspan.functions.quantiles import DIRECT_LIMIT, exact_quantiles
 from flatspan.functions.schema import as_double, numeric_columns, quoted
+from flatspan.operators.blocks import add_up, keyed
 
-#: Column pairs per aggregate; wider tables are done in several passes over the same columns.
-PAIRS_PER_PASS = 300
+#: Rows whose products a task takes at once, and tasks that hold a matrix each, at most.
+GRAM_ROWS, GRAM_TASKS = 1024, 4096
+#: A variance below this share of the mean square about the shift is rounding.
+FLAT = 1e-13
 
 
 def describe(df: DataFrame, columns: list[str] | None = None, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
@@ -63,41 +70,54 @@ def correlation(a: Column, b: Column, spread: Column | None = None) -> Column:
     return F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
-def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """col_a, col_b, r for each unordered pair, in column order; no row for fewer than two columns.
+def pair_sums(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """For all pairs of columns, over the rows where both are present: [rows, sum of a, sum of a squared, sum of a b], a and b
+    taken about their means; one scan whatever the number of columns.
+
+    A task multiplies blocks of rows, with gaps as zeros and a matrix of what is there, and what it has summed is a row for each
+    column; these are added over the cluster."""
+    c = len(columns)
+    means = df.agg(*[F.avg(as_double(name)).alias(f"m{i}") for i, name in enumerate(columns)]).first()
+    shift = np.array([m if m is not None else 0.0 for m in means])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros((c, 4, c)), False
+        for batch in (x for x in batches if x.num_rows):
+            flat, seen = batch.column(0).flatten(), True
+            there = ~np.asarray(flat.is_null()).reshape(-1, c)
+            values = np.where(there, flat.fill_null(0.0).to_numpy(zero_copy_only=False).reshape(-1, c) - shift, 0.0)
+            for at in range(0, len(values), GRAM_ROWS):
+                x, m = values[at : at + GRAM_ROWS], there[at : at + GRAM_ROWS].astype(float)
+                total[:, 0] += m.T @ m
+                total[:, 1] += x.T @ m
+                total[:, 2] += (x * x).T @ m
+                total[:, 3] += x.T @ x
+        if seen:
+            yield keyed(list(range(c)), list(total))
+
+    rows = df.select(F.array(*[as_double(name) for name in columns]).alias("x")).coalesce(GRAM_TASKS).mapInArrow(multiply, "key int, sums binary")
+    out = np.zeros((c, 4, c))
+    for r in add_up(rows).collect():  # one row a column
+        out[r["key"]] = np.frombuffer(r["sums"]).reshape(4, c)
+    return out.transpose(1, 0, 2)
 
-    A first pass finds the columns without gaps: their deviations are the same in every pair, which
-    leaves one aggregate per pair.
-    """
+
+def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """col_a, col_b, r for each unordered pair, in column order, over rows where both are present; null where either is constant
+    there, no row for fewer than two columns."""
     cols = columns or numeric_columns(df)
-    pairs = list(itertools.combinations(cols, 2))
-    empty = df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
-    if not pairs:
-        return empty
-    gaps = df.agg(*[F.coalesce(F.bool_or(as_double(c).isNull()), F.lit(True)).alias(f"g{i}") for i, c in enumerate(cols)]).first()
-    full = {c for i, c in enumerate(cols) if not gaps[f"g{i}"]}
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start : start + PAIRS_PER_PASS]
-        deviation = {c: F.stddev_pop(as_double(c)) for c in full}
-        one_row = df.agg(
-            *[
-                correlation(as_double(a), as_double(b), deviation[a] * deviation[b] if {a, b} <= full else None).alias(f"r{i}")
-                for i, (a, b) in enumerate(part)
-            ]
-        )
-        rows = one_row.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("r"))
-                        for i, (a, b) in enumerate(part)
-                    ]
-                )
-            )
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    schema = "col_a string, col_b string, r double"
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    n, sums, squares, products = pair_sums(df, cols)
+    many = np.maximum(n, 1)
+    spread = squares - sums**2 / many
+    spread = np.where(spread > FLAT * squares, spread, np.nan)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = (products - sums * sums.T / many) / np.sqrt(spread * spread.T)
+    r = np.clip(r, -1.0, 1.0)
+    rows = [(cols[i], cols[j], float(r[i, j]) if np.isfinite(r[i, j]) else None) for i, j in itertools.combinations(range(len(cols)), 2)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -206,6 +226,36 @@ def describe_long(described: DataFrame) -> DataFrame:
     return described.withColumn("n", as_double("n")).unpivot(["column_name"], ["n", *stats], "stat", "value")
 
 
+@dataclass
+class Profile:
+    """What one look at a table gives: its size, and a row for each column or pair of columns."""
+
+    shape: DataFrame
+    describe: DataFrame
+    correlation: DataFrame
+    skewness: DataFrame
+    outliers: DataFrame
+
+    def facts(self) -> DataFrame:
+        """All of it as part, column_name, other, measure, value."""
+        none = F.lit(None).cast("string")
+        shape = self.shape.unpivot([], self.shape.columns, "measure", "value").select(F.lit("shape").alias("part"), none.alias("column_name"), none.alias("other"), "measure", as_double("value").alias("value"))
+        told = describe_long(self.describe).select(F.lit("describe"), "column_name", none, "stat", "value")
+        pairs = self.correlation.select(F.lit("correlation"), "col_a", "col_b", F.lit("r"), "r")
+        skew = self.skewness.select(F.lit("skewness"), "column_name", none, F.lit("skewness"), "skewness")
+        measures = ["n_outliers", "pct_outliers", "lower_fence", "upper_fence"]
+        outside = self.outliers.withColumn("n_outliers", as_double("n_outliers")).unpivot(["column_name"], measures, "measure", "value")
+        outside = outside.select(F.lit("outliers"), "column_name", none, "measure", "value")
+        return shape.union(told).union(pairs).union(skew).union(outside)
+
+
+def profile(df: DataFrame, k: float = 1.5, columns: list[str] | None = None) -> Profile:
+    """The whole profile of a table: shape, description, correlations, skewness, and outliers beyond k interquartile ranges."""
+    cols = columns or numeric_columns(df)
+    shape = df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(df.columns)).cast("long").alias("n_columns"), F.lit(len(cols)).cast("long").alias("n_numeric"))
+    return Profile(shape, describe(df, cols), correlation_matrix(df, cols), skewness(df, cols), outlier_summary(df, cols, k))
+
+
 def correlation_wide(matrix: DataFrame, columns: list[str]) -> DataFrame:
     """One row and one value column per table column."""
     return matrix.groupBy("col_a").pivot("col_b", columns).agg(F.first("r"))

@@ -76,10 +76,9 @@ class _Job:
 
     def profile(self) -> str:
         df = self.frames["cleaned"]
-        self._report(profile.describe(df), "describe")
-        self._report(profile.correlation_matrix(df), "correlation")
-        self._report(profile.skewness(df), "skewness")
-        self._report(profile.outlier_summary(df), "outliers")
+        found = profile.profile(df)
+        for name in ("describe", "correlation", "skewness", "outliers"):
+            self._report(getattr(found, name), name)
         return self.outputs["describe"]
 
     def features(self) -> str:

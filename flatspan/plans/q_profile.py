@@ -105,6 +105,24 @@ def _(spark, sf):
     return round6(profile.outlier_summary(table(spark, sf, "documents"), ["n_chars"], k=3.0))
 
 
+_PROFILED = ["c_custkey", "c_nationkey", "c_acctbal"]
+
+
+@query(
+    "profile_tables",
+    f"""SELECT 'shape' AS part, NULL::VARCHAR AS column_name, NULL::VARCHAR AS other, m AS measure, v::DOUBLE AS value FROM
+          (SELECT 'n_rows' AS m, count(*) AS v FROM customer UNION ALL SELECT 'n_columns', count(*) FROM (DESCRIBE customer) UNION ALL SELECT 'n_numeric', {len(_PROFILED)})
+        UNION ALL SELECT 'describe', column_name, NULL, stat, value FROM (SELECT column_name, CAST(n AS DOUBLE) AS n, mean, std, min, q25, q50, q75, max FROM
+          ({sql_describe('customer', _PROFILED)})) UNPIVOT INCLUDE NULLS (value FOR stat IN (n, mean, std, min, q25, q50, q75, max))
+        UNION ALL SELECT 'correlation', col_a, col_b, 'r', round(r, 6) FROM ({sql_matrix('customer', _PROFILED)})
+        UNION ALL SELECT 'skewness', column_name, NULL, 'skewness', round(skewness, 6) FROM ({sql_skew('customer', _PROFILED)})
+        UNION ALL SELECT 'outliers', column_name, NULL, measure, round(value, 6) FROM (SELECT column_name, n_outliers::DOUBLE AS n_outliers, pct_outliers, lower_fence, upper_fence
+          FROM ({sql_outliers('customer', _PROFILED, 1.0)})) UNPIVOT INCLUDE NULLS (value FOR measure IN (n_outliers, pct_outliers, lower_fence, upper_fence))""",
+)
+def _(spark, sf):
+    return round6(profile.profile(table(spark, sf, "customer"), k=1.0).facts())
+
+
 @query(
     "skew_ranking",
     f"""SELECT column_name, round(skewness, 6) AS skewness, CAST(row_number() OVER (ORDER BY abs(skewness) DESC NULLS LAST, column_name) AS INTEGER) AS place

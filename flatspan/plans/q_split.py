@@ -24,13 +24,12 @@ def _(spark, sf):
 
 @query(
     "feature_matrix",
-    """SELECT * FROM (VALUES ('p_size', 'feature'), ('p_partkey', 'id'), ('p_retailprice', 'target'), ('p_name', 'dropped'),
-       ('p_brand', 'dropped'), ('p_type', 'dropped')) v(column_name, part_in_model)""",
+    """SELECT p_partkey AS id, p_retailprice AS target, p_size::DOUBLE AS p_size FROM part""",
 )
 def _(spark, sf):
-    used, dropped, _ = split.feature_matrix(table(spark, sf, "part"), "p_retailprice", "p_partkey")
-    rows = [(c, "feature") for c in used] + [(c, "dropped") for c in dropped] + [("p_partkey", "id"), ("p_retailprice", "target")]
-    return spark.createDataFrame(rows, "column_name string, part_in_model string")
+    df = table(spark, sf, "part")
+    used, _, _ = split.feature_matrix(df, "p_retailprice", "p_partkey")
+    return df.select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("target"), *[F.col(c).cast("double").alias(c) for c in used])
 
 
 @query(
