@@ -123,7 +123,8 @@ def make_blocks(frame: DataFrame, id_col: str, splits: list[str], n_classes: int
     edges = bin_edges(frame, features)
     tasks = max(min(spark.sparkContext.defaultParallelism, -(-n_rows // BLOCK_ROWS)), -(-n_rows // TASK_ROWS), 1)
     by = F.array(*[F.coalesce(F.col(c).cast("short"), F.lit(-1).cast("short")) for c in splits]) if splits else F.array().cast("array<short>")
-    rows = frame.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"), by.alias("s"), F.xxhash64(id_col).alias("h"))
+    placed = F.xxhash64(id_col) if id_col in frame.columns else F.xxhash64(vector_to_array("features"), "label")
+    rows = frame.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"), by.alias("s"), placed.alias("h"))
     rows = rows.repartition(tasks, "h").sortWithinPartitions("h").withColumn("part", F.spark_partition_id()).drop("h")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
