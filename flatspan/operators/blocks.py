@@ -26,7 +26,7 @@ BLOCK_ROWS = 4096
 #: Rows of a task, once there are enough for all tasks.
 TASK_ROWS = 1 << 17
 #: Bins of a feature: edges are quantiles of the rows, with a rank error of at most one in ``ACCURACY``.
-BINS = 64
+BINS = 32
 ACCURACY = 10_000
 #: Features whose quantiles are taken in one pass.
 QUANTILE_COLUMNS = 200
