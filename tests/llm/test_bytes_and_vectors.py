@@ -78,7 +78,6 @@ def bench_tables(spark):
 @pytest.mark.parametrize("bound", [10**6, 0])
 def test_decontamination(spark, bound, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", bound)
-    monkeypatch.setattr(decontaminate, "BLOCK", 16)
     docs, items = bench_tables(spark)
 
     def words(text):
