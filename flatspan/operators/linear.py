@@ -190,6 +190,11 @@ def step(hessian: np.ndarray, slope: np.ndarray, penalty: np.ndarray) -> np.ndar
     """The solution of a Newton step.  Directions that the rows say nothing about, and no penalty, are left alone."""
     h = hessian + np.diag(penalty)
     scale = 1 / np.sqrt(np.maximum(np.diag(h), 1e-300))
-    values, axes = np.linalg.eigh(h * np.outer(scale, scale))
-    good = values > 1e-13 * max(values[-1], 1e-300)
-    return scale * (axes[:, good] @ ((axes[:, good].T @ (scale * slope)) / values[good]))
+    scaled = h * np.outer(scale, scale)
+    try:
+        np.linalg.cholesky(scaled + 1e-11 * np.eye(len(h)))
+        return scale * np.linalg.solve(scaled + 1e-11 * np.eye(len(h)), scale * slope)
+    except np.linalg.LinAlgError:
+        values, axes = np.linalg.eigh(scaled)
+        good = values > 1e-13 * max(values[-1], 1e-300)
+        return scale * (axes[:, good] @ ((axes[:, good].T @ (scale * slope)) / values[good]))
