@@ -206,3 +206,18 @@ def test_recent_history_reads_recent_days_only(spark, tmp_path):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert recent.count() == 20 and "PartitionFilters: [isnotnull(day" in plan
     assert files.read_recent(spark, path, history.RUN_SCHEMA, 999).count() == 60
+
+
+def test_appends_count_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path, schema = new_stage_path(spark, "commits"), history.RUN_SCHEMA
+    names = [c.split()[0] for c in schema.split(", ")]
+    many = spark.range(6).select(*[(F.col("id").cast("string") if n == "run_id" else F.lit(None)).cast(t).alias(n) for n, t in (c.split(" ", 1) for c in schema.split(", "))])
+    one, two = many.where("run_id < 3"), many.where("run_id >= 3")
+    with ThreadPoolExecutor(4) as pool:  # parallel writers, two of them with the same rows
+        list(pool.map(lambda rows_: run_files.append_runs(rows_, path), [one, two, one.orderBy(F.desc("run_id")), two]))
+    run_files.append_runs(one, path)  # a retry
+    one.write.partitionBy("run_id").parquet(f"{path}/attempt=broken")  # an attempt without its commit
+    assert sorted(r["run_id"] for r in run_files.read_history(spark, path, schema).collect()) == [str(i) for i in range(6)]
+    assert len(run_files.attempts(spark, path)) == 2 and run_files.append_name(one) != run_files.append_name(two) and len(names) > 3
