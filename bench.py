@@ -12,7 +12,9 @@ import sys
 import threading
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
+os.environ["PYTHONPATH"] = os.pathsep.join([HERE, *filter(None, [os.environ.get("PYTHONPATH")])])  # for the workers
 
 from flatspan.plans import base, q_train  # noqa: E402
 from flatspan.plans.catalog import QUERIES  # noqa: E402
