@@ -36,10 +36,6 @@ class _Bracket:
     below: int
     rows: int
 
-    def covers(self):
-        c = as_double(self.column)
-        return (c >= F.lit(self.low)) & (c <= F.lit(self.high))
-
 
 def count_and_range(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
     """Non-null rows, minimum and maximum per column, in one aggregate."""
@@ -115,19 +111,18 @@ def _shrink(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     """One histogram per distinct range; the smallest and the largest value always fall in
     different bins, so every round makes progress."""
     spans = list(dict.fromkeys((b.column, b.low, b.high, b.below) for b in brackets))
-    cells, wanted = [], []
-    for i, (column, low, high, below) in enumerate(spans):
-        scale = 1.0 if math.isfinite(high - low) else 0.5
-        x = as_double(column)
-        share = (x * scale - F.lit(low * scale)) / F.lit(high * scale - low * scale)
-        inside = (x >= F.lit(low)) & (x <= F.lit(high))
-        place = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-        cells.append(F.struct(F.lit(i).alias("s"), F.when(inside, place).alias("bin"), x.alias("x")))
-        inner = [b.rank - below for b in brackets if (b.column, b.low, b.high, b.below) == spans[i]]
+    wanted = []
+    for i, span in enumerate(spans):
+        inner = [b.rank - b.below for b in brackets if (b.column, b.low, b.high, b.below) == span]
         wanted += [F.lit(i), F.array(*[F.lit(r).cast("long") for r in inner])]
+    scales = [1.0 if math.isfinite(high - low) else 0.5 for _, low, high, _ in spans]
+    of = lambda numbers: F.get(F.array(*[F.lit(v) for v in numbers]), F.col("s"))
+    starts = [low * scale for (_, low, _, _), scale in zip(spans, scales, strict=True)]
+    widths = [high * scale - start for (_, _, high, _), scale, start in zip(spans, scales, starts, strict=True)]
+    share = (F.col("x") * of(scales) - of(starts)) / of(widths)
     counted = (
-        df.select(F.inline(F.array(*cells)))
-        .where("bin IS NOT NULL")
+        _inside(df, spans)
+        .select("s", F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), "x")
         .groupBy("s", "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
     )
@@ -145,23 +140,30 @@ def _shrink(df: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
     return out
 
 
+def _inside(df: DataFrame, spans: list[tuple[str, float, float, int]]) -> DataFrame:
+    """Rows (s, x): the values that lie in a span, with the span's number.  Ranges of a column do not overlap, so a value
+    goes to one span, and a row gives one candidate a column whatever the number of spans."""
+    columns = list(dict.fromkeys(column for column, *_ in spans))
+    cells = [F.struct(F.lit(j).alias("c"), as_double(c).alias("x")) for j, c in enumerate(columns)]
+    number = F
+    for j, name in enumerate(columns):
+        own = F
+        for i, (column, low, high, _) in enumerate(spans):
+            if column == name:
+                own = own.when((F.col("x") >= F.lit(low)) & (F.col("x") <= F.lit(high)), F.lit(i))
+        number = number.when(F.col("c") == j, own)
+    return df.select(F.inline(F.array(*cells))).select(number.alias("s"), "x").where("s IS NOT NULL")
+
+
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
     if not brackets:
         return {}
     spans = list(dict.fromkeys((b.column, b.low, b.high, b.below) for b in brackets))
-    first = {span: next(b for b in brackets if (b.column, b.low, b.high, b.below) == span) for span in spans}
-    tagged, wanted = [], []
+    wanted = []
     for i, span in enumerate(spans):
-        b = first[span]
-        tagged.append(F.struct(F.lit(i).alias("s"), F.when(b.covers(), as_double(b.column)).alias("v")))
         inner = sorted({x.rank - x.below for x in brackets if (x.column, x.low, x.high, x.below) == span})
         wanted += [F.lit(i), F.array(*[F.lit(r).cast("long") for r in inner])]
-    counted = (
-        df.select(F.inline(F.array(*tagged)))
-        .where("v IS NOT NULL")
-        .groupBy("s", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = _inside(df, spans).groupBy("s", F.col("x").alias("v")).agg(F.count(F.lit(1)).alias("n"))
     running = Window.partitionBy("s").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
         counted.withColumn("upto", F.sum("n").over(running))

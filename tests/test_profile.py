@@ -126,3 +126,20 @@ def test_nan_and_infinity_are_missing(spark, limit):
     assert abs(profile.skewness(df).first()["skewness"]) < 1e-12
     two = df.withColumn("c", F.col("`a.b`") * 2 + 1)
     assert profile.correlation_pairs(two).first()["r"] == pytest.approx(1)
+
+
+def test_quantile_scans_make_one_candidate_a_column(spark, monkeypatch):
+    """However many ranges a column has, a row gives one candidate for each column."""
+    from flatspan.functions import quantiles
+
+    df = spark.range(5000).selectExpr("pmod(id * 7919, 5000) AS a", "CAST(id AS DOUBLE) / 3 AS b", "IF(id % 2 = 0, NULL, id) AS c")
+    seen = []
+    monkeypatch.setattr(quantiles, "BINS", 16)
+    inside = quantiles._inside
+    monkeypatch.setattr(quantiles, "_inside", lambda d, spans: seen.append((spans, inside(d, spans))) or seen[-1][1])
+    got = quantiles.exact_quantiles(df, ["a", "b", "c"], [0.25, 0.5, 0.75], direct_limit=50)
+    assert got["a"] == [1249.75, 2499.5, 3749.25] and got["c"] == [1250.5, 2500.0, 3749.5]
+    assert [round(v * 3, 6) for v in got["b"]] == [1249.75, 2499.5, 3749.25]
+    assert max(len(spans) for spans, _ in seen) > 3
+    for spans, frame in seen:
+        assert frame.count() == sum(df.where(f"{c} BETWEEN {low!r} AND {high!r}").count() for c, low, high, _ in spans)
