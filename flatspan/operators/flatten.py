@@ -1,7 +1,7 @@
 """From relational tables to one flat analysis table.
 
 The detail tables are aggregated to one row per order before they are joined, so no join fans out.
-All aggregates combine before the shuffle, so an order with very many lines is no hot spot.  Joins are plain LEFT
+An order with very many lines is spread over its values, so it is no hot spot.  Joins are plain LEFT
 equi-joins: Spark broadcasts a side only below ``spark.sql.autoBroadcastJoinThreshold`` and splits
 skewed partitions at run time otherwise.
 """
@@ -22,20 +22,49 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
     return joined.drop(dim[dim_key])
 
 
+#: Rows of a key from which it is hot: spread over its values instead of being one task's work.
+HOT_ROWS = 100_000
+#: Rows of a task that folds whole keys.
+TASK_ROWS = 250_000
+
+
 def summarise_by_key(
     df: DataFrame,
     key: str,
     measures: dict[str, tuple[str, str]],
     distinct: dict[str, str],
     modes: dict[str, tuple[str, str | None]],
+    counted: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per key: measures (``count``, ``sum``, ``avg`` or ``max`` of a column), numbers of
     distinct values, and modes (most frequent text, ties to the smallest, a default when none).
 
+    A scan counts the rows of each key, in ``counted`` where ``df`` is that frame with lookups joined.  Rows of all but
+    the hot keys (at most one in ``hot_rows`` rows) are shuffled once, by key, and folded where they are.  A hot key is
+    spread over its values first, and no buffer holds a set or a map.
+    """
+    sizes = (df if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.when(F.col("n") > hot_rows, F.struct(F.col(key).alias("key")))
+    found = sizes.agg(F.sum("n").alias("n"), F.collect_list(hot).alias("hot")).first()
+    tasks = -(-(found["n"] or 0) // TASK_ROWS)
+    if tasks <= 1 and not found["hot"]:
+        return _fold_by_key(df, key, measures, distinct, modes)  # one task's rows: nothing to place
+    hot_keys = [r["key"] for r in found["hot"]]
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot_keys if k is not None]), F.lit(None in hot_keys))
+    rest = (df.where(~is_hot) if hot_keys else df).repartition(max(tasks, 1), key)
+    out = _fold_by_key(rest, key, measures, distinct, modes)
+    return out.unionByName(_fold_by_key(df.where(is_hot), key, measures, distinct, modes)) if hot_keys else out
+
+
+def _fold_by_key(
+    df: DataFrame, key: str, measures: dict[str, tuple[str, str]], distinct: dict[str, str], modes: dict[str, tuple[str, str | None]]
+) -> DataFrame:
+    """``summarise_by_key`` for rows as they lie.
+
     Each input row becomes one row per attribute; the first of them also carries the measures.
     These are counted per (key, attribute, value) and then folded per key, both times combined
-    before the shuffle: a key with a third of all rows is spread over its values first, and no
-    buffer holds a set or a map.
+    before the shuffle, which rows placed by key do without.
     """
     slots = [*distinct.items(), *[(name, column) for name, (column, _) in modes.items()]]
     slot = F.col("_slot")
@@ -79,8 +108,9 @@ def aggregate_items(
     seller_region: str,
     category: str,
     delivered: str,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per order from its item lines (already joined to product and seller)."""
+    """One row per order from its item lines (already joined to product and seller); ``lines`` are they before these joins."""
     return summarise_by_key(
         items,
         key,
@@ -94,6 +124,7 @@ def aggregate_items(
         },
         {"n_distinct_sellers": seller, "n_distinct_products": product},
         {"primary_seller_region": (seller_region, None), "product_category": (category, MODE_FALLBACK)},
+        lines,
     )
 
 

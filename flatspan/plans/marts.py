@@ -44,6 +44,7 @@ def items_agg(spark: SparkSession, sf: str) -> DataFrame:
         seller_region="seller_region",
         category="p_type",
         delivered="l_shipdate",
+        lines=lines,
     )
 
 
@@ -67,14 +68,18 @@ def flat_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     out = flatten.left_lookup(orders, customer, "o_custkey", "c_custkey")
     out = flatten.left_lookup(out, nation, "c_nationkey", "n_nationkey").drop("c_nationkey")
-    out = flatten.left_lookup(out, items_agg(spark, sf), "o_orderkey", "l_orderkey")
-    out = flatten.left_lookup(out, payments_agg(spark, sf).withColumnRenamed("user_id", "pay_user"), "o_custkey", "pay_user")
+    items = items_agg(spark, sf)
+    payments = payments_agg(spark, sf).withColumnRenamed("user_id", "pay_user")
+    order = [*out.columns, *[c for c in [*items.columns, *payments.columns] if c not in ("l_orderkey", "pay_user")]]
+    # All lookups by customer come before the one by order, so the orders are shuffled once for each key.
+    out = flatten.left_lookup(out, payments, "o_custkey", "pay_user")
     last = latest_event(spark, sf).select(
         F.col("user_id").alias("last_user"),
         F.col("event_type").alias("latest_event_type"),
         F.col("value").alias("latest_event_value"),
     )
     out = flatten.left_lookup(out, last, "o_custkey", "last_user")
+    out = flatten.left_lookup(out, items, "o_orderkey", "l_orderkey").select(*order, "latest_event_type", "latest_event_value")
     out = out.withColumn("estimated_at", F.expr(f"o_orderdate + INTERVAL {ESTIMATE_DAYS} DAYS"))
     return out.withColumn(
         "purchase_to_delivered_days", flatten.whole_days(F.col("delivered_at"), F.col("o_orderdate"))

@@ -28,6 +28,30 @@ def test_summary_of_a_hot_key(spark):
     assert (out["n"], out["d"], out["m"]) == (3000, 1000, "0")
 
 
+def test_summary_shuffles_rows_once_and_spreads_hot_keys_only(spark, monkeypatch):
+    """Rows are placed by key once and folded there; only keys above the limit go another way, with the same results."""
+    monkeypatch.setattr(flatten, "TASK_ROWS", 500)
+    df = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 WHEN id % 7 = 0 THEN NULL ELSE id % 1000 END AS k", "id AS line", "string(id % 10) AS v", "CAST(id % 4 AS DOUBLE) AS x")
+    asked = ["k", {"n": ("count", "line"), "s": ("sum", "x"), "a": ("avg", "x"), "top": ("max", "line")}, {"d": "v"}, {"m": ("v", "none")}]
+    plain = rows(flatten._fold_by_key(df, *asked))
+    for limit in (10, 600, 100_000):  # many hot keys, the null key and 0, none
+        assert rows(flatten.summarise_by_key(df, *asked, hot_rows=limit)) == plain
+    assert flatten.summarise_by_key(df, *asked)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_orders_are_shuffled_once_for_each_key(spark):
+    from flatspan.plans import marts
+
+    with_sort = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = marts.flat_orders(spark, entry.SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_sort)
+    nodes = [x for x in plan.splitlines() if "Exchange hashpartitioning(o_" in x]
+    assert sum("(o_custkey" in x for x in nodes) <= 2 and sum("(o_orderkey" in x for x in nodes) == 1
+
+
 def test_latest_label_and_days(spark):
     t = lambda d, h=0: datetime(2024, 1, d, h)
     df = spark.createDataFrame([("a", t(1), 1), ("a", t(3), 2), ("b", t(2), 3), ("a", t(3), 4)], "k string, at timestamp_ntz, v int")
