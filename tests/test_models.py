@@ -205,3 +205,22 @@ def test_importances_do_not_depend_on_ranges(spark, blocks, data, monkeypatch):
     cut = {r["feature"]: r["importance_mean"] for r in train.permutation_importance(model, frame, p, 3).collect()}
     assert whole.keys() == cut.keys() == set(NAMES) and all(abs(whole[f] - cut[f]) < 0.05 for f in NAMES)
     assert max(whole, key=whole.get) == max(cut, key=cut.get) == "f0"
+
+
+def test_boosted_fits_reach_the_driver_in_bounded_parts(blocks, monkeypatch):
+    """Fits whose sums would be too large together grow in parts: the same trees, and no sum above the limit."""
+    b = blocks["many"][0]
+    whole = boost.Boosting(b, FOLDS, [0.1] * len(FOLDS))
+    whole.grow(3)
+    one = whole.outputs * 2 ** (boost.DEPTH - 2) * b.features * boost.BINS * 3 * 8  # the last level of a fit
+    monkeypatch.setattr(boost, "SUM_BYTES", 2 * one)
+    parted, sizes = boost.Boosting(b, FOLDS, [0.1] * len(FOLDS)), []
+    aggregate = parted.aggregate
+    monkeypatch.setattr(parted, "aggregate", lambda of: sizes.append(aggregate(of)) or sizes[-1])
+    parted.grow(3)
+    assert len(parted.parts()) == 2 and max(s.nbytes for s in sizes) <= 2 * one
+    for name in ("feature", "cut", "value"):
+        for x, y in zip(getattr(whole.trees, name), getattr(parted.trees, name), strict=True):
+            assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
+    whole.release()
+    parted.release()
