@@ -224,3 +224,28 @@ def test_boosted_fits_reach_the_driver_in_bounded_parts(blocks, monkeypatch):
             assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
     whole.release()
     parted.release()
+
+
+def test_a_level_of_a_forest_takes_one_pass_a_tree(blocks, monkeypatch):
+    """However many nodes a level has, a block is summed once for each tree, feature and output, and each node gets its own rows."""
+    from flatspan.operators import forest
+
+    b = blocks["many"][0]
+    spec = forest.Spec(2, 6, 2, True, 3, 3)
+    grown, held = Forest(b, FOLDS[:1], spec, local_rows=40), b.rdd.collect()
+    nodes = [(s, int(i)) for s in range(2) for i in np.flatnonzero(grown.tops.depth[s, : grown.tops.size[s]] == 2)]
+    assert len(nodes) > 4
+    calls, bincount, sums = [], np.bincount, {}
+    monkeypatch.setattr(forest, "sum_over", lambda rdd, visit: sums.setdefault("of", visit(iter(held))))
+    monkeypatch.setattr(np, "bincount", lambda *x, **y: calls.append(1) or bincount(*x, **y))
+    grown.levels = 2
+    got = grown.node_sums(nodes, np.tile([0, 3], (len(nodes), 1)))
+    monkeypatch.undo()
+    assert len(calls) <= len(held) * 2 * 2 * (spec.outputs + 2)
+    for (s, node), of in zip(nodes, got, strict=True):
+        for j, f in enumerate((0, 3)):
+            rows = np.zeros(of.shape[1])
+            for x in held:
+                n = forest.draws(spec.seed, s, x.block, x.n) * x.member(FOLDS[0]) * (grown.tops.route(s, x.bins, 2) == node)
+                rows += bincount(x.bins[f], n, of.shape[1])
+            assert (of[j, :, -1] == rows).all()
