@@ -1,4 +1,5 @@
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,34 @@ def test_failed_seed_is_listed(frame):
     assert out.failed.count() == 2 and out.models.count() == 0
 
 
+def test_figures_need_every_seed(frame, monkeypatch):
+    """A seed without a result is named and the others keep theirs, but no summary is given over fewer seeds; a failed job is no failed seed."""
+    result = lambda p: SimpleNamespace(prepared=p, best="a", metrics={"f1": 0.5}, importances=frame.sparkSession.createDataFrame([("x", 1.0)], "feature string, importance_mean double"))
+
+    def fails(some, _):
+        if any(p.seed == 2 for p in some):
+            raise ValueError("too few rows\nmore")
+        return [result(p) for p in some]
+
+    monkeypatch.setattr(train, "train_prepared", fails)
+    out = train.run_seeds(frame.drop("price"), "label", "row", None, (1, 2, 3), TINY)
+    assert rows(out.failed) == [(2, "too few rows")] and rows(out.models) == [(1, "a"), (3, "a")]
+    for name in ("metrics", "features"):
+        with pytest.raises(RuntimeError, match="seed 2: too few rows"):
+            getattr(out, name)
+    whole = train.run_seeds(frame.drop("price"), "label", "row", None, (1, 3), TINY)
+    assert rows(whole.metrics) == [(1, "f1", 0.5), (3, "f1", 0.5)] and rows(whole.features) == [(1, 1, "x"), (3, 1, "x")] and whole.failed.isEmpty()
+
+    def lost(some, _):
+        raise RuntimeError("job cancelled")
+
+    monkeypatch.setattr(train, "train_prepared", lost)
+    with pytest.raises(RuntimeError, match="job cancelled"):
+        train.run_seeds(frame.drop("price"), "label", "row", None, (1,), TINY)
+    with pytest.raises(ValueError):
+        train.run_seeds(frame.drop("price"), "label", "row", None, (), TINY)
+
+
 def test_pipeline(spark, frame):
     folder = new_stage_path(spark, "job")
     df = frame.drop("price").withColumn("city", F.concat(F.lit("c"), (F.col("grp") % 25).cast("string")))
