@@ -249,3 +249,44 @@ def test_a_level_of_a_forest_takes_one_pass_a_tree(blocks, monkeypatch):
                 n = forest.draws(spec.seed, s, x.block, x.n) * x.member(FOLDS[0]) * (grown.tops.route(s, x.bins, 2) == node)
                 rows += bincount(x.bins[f], n, of.shape[1])
             assert (of[j, :, -1] == rows).all()
+
+
+@pytest.mark.parametrize("k", [0, 2, 3])
+def test_sorted_rows_give_the_same_cut(k):
+    """Nodes with few rows are cut by sorting, others by sums over bins; both give the same gain, feature and cut."""
+    from flatspan.operators import forest
+
+    rng = np.random.default_rng(k)
+    n, a = 400, 60
+    node, y = np.sort(np.r_[np.arange(a), rng.integers(0, a, n - a)]), rng.integers(0, k or 50, n)
+    data = forest.Rows(rng.integers(0, 6, (n, D)).astype("u1"), y if k else y * 1.7 - 1000, rng.integers(1, 5, n), np.linspace(0.5, 2, max(k, 1)), k)
+    rows = rng.permutation(n)
+    node = node[np.argsort(rows)][rows]  # nodes in no order
+    features = np.array([rng.permutation(D)[:3] for _ in range(a)])
+    total = data.by_key(node, data.of(rows), a)
+    few, many = (cut(data, rows, node, features, total) for cut in (forest.cut_few, forest.cut_many))
+    assert (np.isfinite(few[0]) == np.isfinite(many[0])).all() and np.isfinite(few[0]).sum() > a // 2
+    splits = np.isfinite(few[0])
+    assert np.allclose(few[0][splits], many[0][splits], rtol=1e-9, atol=1e-9) and all((few[i][splits] == many[i][splits]).all() for i in (1, 2))
+
+
+def test_scored_rows_are_added_up_where_they_are(spark, blocks, monkeypatch):
+    """What trees say of a row is added up in a task before it is passed on: not a row for each node and block."""
+    from flatspan.operators.blocks import COLUMNS, unpack
+
+    b, small = blocks["two"][0], []
+    for r in b.frame.collect():
+        x, bins, y, splits = (np.frombuffer(r[c], t) for c, t in (("x", "<f8"), ("bins", "u1"), ("y", "<f8"), ("splits", "<i2")))
+        for at in range(0, r["n"], 6):
+            some = slice(at, min(at + 6, r["n"]))
+            data = [x.reshape(-1, D)[some], bins.reshape(D, -1)[:, some], y[some], splits.reshape(1, -1)[:, some]]
+            small.append((len(small) << 32, some.stop - at, *(bytearray(np.ascontiguousarray(v).tobytes()) for v in data)))
+    frame = spark.createDataFrame(small, COLUMNS).repartition(3).persist()
+    features, names = b.features, b.splits
+    many = Blocks(frame, frame.rdd.map(lambda r: unpack(r[0], r[1], r[2:], features, names)), b.features, b.splits, b.edges, b.n_classes, b.n_rows)
+    grown = Forest(many, FOLDS, Spec(6, 30, 2, True, 7, 2), local_rows=60)
+    assert len(small) == 100 and grown.levels > 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert grown.finish([5, 30], [3, 6]).count() <= tasks * len(FOLDS) * 2
+    assert (grown.scores([5, 30], [3, 6]).sum(axis=(0, 3, 4)) == 600).all()
+    frame.unpersist()
