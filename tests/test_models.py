@@ -290,3 +290,34 @@ def test_scored_rows_are_added_up_where_they_are(spark, blocks, monkeypatch):
     assert grown.finish([5, 30], [3, 6]).count() <= tasks * len(FOLDS) * 2
     assert (grown.scores([5, 30], [3, 6]).sum(axis=(0, 3, 4)) == 600).all()
     frame.unpersist()
+
+
+def test_narrow_features_are_summed_as_one(spark, monkeypatch):
+    """Features of few bins whose combinations are few are one column of sums; their trees are those of sums by feature."""
+    from flatspan.operators import blocks as made
+
+    rng = np.random.default_rng(5)
+    kind, other = rng.integers(0, 4, 500), rng.integers(0, 3, 500)
+    df = pd.DataFrame({f"k{i}": (kind == i).astype(float) for i in range(4)} | {f"o{i}": (other == i).astype(float) for i in range(3)})
+    df = df.assign(x=rng.standard_normal(500), id=range(500), fold=rng.integers(0, 3, 500))
+    df["label"] = ((kind == 1) * 1.0 + (other == 2) + df["x"] > 0.8).astype(float)
+    frame = VectorAssembler(inputCols=[*df.columns[:8]], outputCol="features").transform(spark.createDataFrame(df))
+    b = make_blocks(frame, "id", ["fold"], 2)
+    found = made.bundles(b)
+    assert [x.features.tolist() for x in found] == [[0, 1, 2, 3, 4, 5, 6]] and len(found[0].keys) == 12
+    one, sizes = boost.Boosting(b, FOLDS, [0.1] * 3), []
+    aggregate = one.aggregate
+    monkeypatch.setattr(one, "aggregate", lambda of: sizes.append(aggregate(of)) or sizes[-1])
+    one.grow(4)
+    assert all(len(s) == 2 for s in sizes)  # columns: the bundle and x
+    monkeypatch.setattr(boost, "bundles", lambda _: [])
+    each = boost.Boosting(b, FOLDS, [0.1] * 3)
+    each.grow(4)
+    for x, y in zip(one.trees.value, each.trees.value, strict=True):
+        assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
+    assert (one.confusion() == each.confusion()).all()
+    monkeypatch.setattr(made, "COMBINATIONS", 5)
+    assert made.bundles(b) == []  # too many to know them all
+    one.release()
+    each.release()
+    b.release()
